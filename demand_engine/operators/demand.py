@@ -52,16 +52,22 @@ def observed_range(df: DataFrame, time: str = "timestamp_hour") -> DataFrame:
     return df.agg(F.min(time).alias("min_time"), F.max(time).alias("max_time"))
 
 
+def spread_by(df: DataFrame, id: str) -> DataFrame:
+    """Partitioned by series over all cores, whatever the size: for rows that are few themselves but
+    unfold to many, which adaptive execution would otherwise put into a few tasks."""
+    spark = df.sparkSession
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(wide, id)
+
+
 def grid(
     ids: DataFrame, start: Column, end: Column, id: str, step: str = "hour", out_time: str = "timestamp_hour"
 ) -> DataFrame:
     """Every step from start to end for every id.
 
-    Each id row unfolds its own time axis: no join. The few id rows are spread over all cores first,
-    because the rows they unfold to are many.
+    Each id row unfolds its own time axis: no join.
     """
-    cores = ids.sparkSession.sparkContext.defaultParallelism
-    spread = distinct_ids(ids, id).repartition(cores, id)
+    spread = spread_by(distinct_ids(ids, id), id)
     return spread.select(F.explode(F.sequence(start, end, step_interval(step))).alias(out_time), F.col(id))
 
 
@@ -102,13 +108,14 @@ def fill_gaps(
     counted row of its series (the first one those since ``start``, the last one those up to ``end``).
 
     Equal to ``fill_counts(full_grid(...), counts)``, but only counted cells are shuffled; the zeros
-    appear where they are needed. A series holds at most one row per step of the axis.
+    appear where they are needed. A series holds at most one row per step of the axis. The result stays
+    partitioned by series, which the window features reuse.
     """
     series = Window.partitionBy(id).orderBy(time)
     one = step_interval(step)
     first = F.when(F.lag(time).over(series).isNull(), F.date_trunc(step, start)).otherwise(F.col(time))
     last = F.coalesce(F.lead(time).over(series) - one, F.date_trunc(step, end))
-    spans = counts.select(time, id, target, first.alias("_first"), last.alias("_last"))
+    spans = spread_by(counts, id).select(time, id, target, first.alias("_first"), last.alias("_last"))
     steps = spans.withColumn("_step", F.explode(F.sequence("_first", "_last", one)))
     value = F.when(F.col("_step") == F.col(time), F.col(target)).otherwise(F.lit(0).cast("bigint"))
     return steps.select(F.col("_step").alias(time), F.col(id), value.alias(target))

@@ -94,15 +94,31 @@ def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(value), key).limit(k)
 
 
+def _key_at(df: DataFrame, key: str, positions: dict[str, int]) -> dict[str, Column]:
+    """Scalars: the key at each position (from 0) of the key order, null behind the last row."""
+    ranked = rank_within(df.select(key).withColumn("_one", F.lit(1)), [], [key], "_one")
+    return {
+        name: ranked.where(F.col("_before") == position).select(F.max(key)).scalar()
+        for name, position in positions.items()
+    }
+
+
 def page(df: DataFrame, key: str, offset: int, n: int) -> DataFrame:
     """Rows ``offset .. offset+n-1`` in the order of a unique key.
 
-    Works from positions, so a far page costs no more than a near one and no task holds the rows
-    before it. To copy a table page by page use the incremental copy instead.
+    Only the keys are ranked; the rows are then filtered by the first and last key of the page. A far
+    page costs no more than a near one, and no task holds the rows before it. To copy a whole table
+    use the incremental copy instead.
     """
-    ranked = rank_within(df.withColumn("_one", F.lit(1)), [], [key], "_one")
-    wanted = (F.col("_before") >= offset) & (F.col("_before") < offset + n)
-    return ranked.where(wanted).select(*df.columns)
+    at = _key_at(df, key, {"first": offset, "last": offset + n - 1})
+    after_first = F.coalesce(F.col(key) >= at["first"], F.lit(False))
+    return df.where(after_first & F.coalesce(F.col(key) <= at["last"], F.lit(True)))
+
+
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows with the smallest unique key, for n too large to sort in one task."""
+    at = _key_at(df, key, {"last": n - 1})
+    return df.where(F.coalesce(F.col(key) <= at["last"], F.lit(True)))
 
 
 def append(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -108,6 +109,19 @@ def _regressor(params: dict, label: str) -> GBTRegressor:
     )
 
 
+@contextmanager
+def kept(rows: DataFrame):
+    """Keeps the rows on the executors (memory, else disk) while several jobs read them."""
+    mine = not rows.is_cached
+    if mine:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        if mine:
+            rows.unpersist()
+
+
 def train(
     rows: DataFrame, train_end, val_end, params: dict | None = None, time: str = "timestamp_hour",
     target: str = "trip_count", roles: FeatureRoles | None = None,
@@ -116,14 +130,13 @@ def train(
 
     ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults.
     """
-    sides = split_by_date(rows, train_end, val_end, time, check=True).withColumn(
-        "is_validation", F.col("split") == "validation"
-    )
     if roles is None:
         numeric = [c for c in feature_columns(rows) if not c.startswith("area_")]
         roles = FeatureRoles(time, target, "", numeric, ["area"])
     stages = [*roles.stages(), _regressor(params or {}, target)]
-    return Pipeline(stages=stages).fit(sides)
+    with kept(rows):
+        sides = split_by_date(rows, train_end, val_end, time, check=True)
+        return Pipeline(stages=stages).fit(sides.withColumn("is_validation", F.col("split") == "validation"))
 
 
 def predict(
@@ -164,22 +177,18 @@ def run_trials(
     """The trials with ``state`` and ``rmse``. Every fit is a distributed job on the shared rows; a
     trial that fails is recorded as such. The trial table is a handful of rows."""
     names = [c for c in trials.columns if c != "trial_id"]
-    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(trial) -> tuple:
         params = {c: trial[c] for c in names}
         try:
-            model = train(kept, train_end, val_end, params, time, target)
-            outcome = ("SUCCEEDED", float(validation_rmse(model, kept, train_end, val_end, time, target)))
+            model = train(rows, train_end, val_end, params, time, target)
+            outcome = ("SUCCEEDED", float(validation_rmse(model, rows, train_end, val_end, time, target)))
         except Exception as error:  # recorded, the other trials go on
             outcome = (f"FAILED: {type(error).__name__}", None)
         return (trial["trial_id"], *[trial[c] for c in names], *outcome)
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            done = list(pool.map(inheritable_thread_target(trials.sparkSession)(run), trials.collect()))
-    finally:
-        kept.unpersist()
+    with kept(rows), ThreadPoolExecutor(max_workers=parallel) as pool:
+        done = list(pool.map(inheritable_thread_target(trials.sparkSession)(run), trials.collect()))
     fields = ", ".join(f"{n} {t}" for n, t in trials.dtypes)
     return trials.sparkSession.createDataFrame(done, f"{fields}, state string, rmse double")
 

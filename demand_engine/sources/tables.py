@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demand_engine.functions.calendar import timestamp_literal
+from demand_engine.operators.ordering import first_rows
 
 # The prepared demand table, names and types in order.
 DEMAND_SCHEMA = T.StructType(
@@ -43,40 +44,51 @@ def scan_events(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
 
 
 def sample_range(
-    df: DataFrame, lo, hi, n: int, order_by: str, time: str = "trip_start_timestamp"
+    df: DataFrame, lo, hi, n: int, key: str, time: str = "trip_start_timestamp"
 ) -> DataFrame:
-    """The first n rows by key between two dates; the last day counts at midnight only."""
+    """The first n rows by unique key between two dates; the last day counts at midnight only."""
     inside = F.col(time).between(timestamp_literal(lo), timestamp_literal(hi))
-    return df.where(inside).orderBy(order_by).limit(n)
+    return first_rows(df.where(inside), key, n)
 
 
 def sample_rows(df: DataFrame, cols: list[str], n: int, seed: int, key: str) -> DataFrame:
-    """n rows chosen by a seeded hash of the key, rows with nulls dropped first.
+    """n rows chosen by a seeded hash of the unique key, rows with nulls dropped first.
 
-    The same seed gives the same rows however the table is partitioned.
+    The same seed gives the same rows however the table is partitioned. The hash is even, so counting
+    its first four digits tells which rows can be among the n; only those are sorted.
     """
+    rows = df.dropna(subset=cols).select(key, *cols)
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    return df.dropna(subset=cols).orderBy(place, key).select(key, *cols).limit(n)
+    digits = F.substring("_place", 1, 4)
+    placed = rows.withColumn("_place", place)
+    counts = placed.groupBy(digits.alias("_digits")).agg(F.count(F.lit(1)).alias("_n"))
+    so_far = F.sum("_n").over(Window.orderBy("_digits"))
+    cut = counts.withColumn("_so_far", so_far).where(F.col("_so_far") >= n).select(F.min("_digits")).scalar()
+    possible = placed.where(F.coalesce(digits <= cut, F.lit(True)))
+    return possible.orderBy("_place", key).limit(n).drop("_place")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, time: str | None = None) -> DataFrame:
-    """CSV with a header and a declared schema; ``time`` arrives as text and is parsed here."""
-    if time is None:
-        return spark.read.schema(schema).csv(path, header=True)
-    textual = T.StructType(
+    """CSV whose header has to match the declared schema; ``time`` arrives as text and is parsed here."""
+    declared = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name == time else f.dataType) for f in schema]
     )
-    return spark.read.schema(textual).csv(path, header=True).withColumn(time, F.to_timestamp(time))
+    rows = spark.read.schema(declared).csv(path, header=True, enforceSchema=False)
+    return rows if time is None else rows.withColumn(time, F.to_timestamp(time))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def write_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Replaces the table, cast to the schema if one is given."""
-    out = df if schema is None else enforce_schema(df, schema)
-    out.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path_or_name: str, schema: T.StructType | None = None) -> None:
+    """Replaces a Parquet folder (anything with a slash) or a catalog table, cast to the schema if one
+    is given."""
+    writer = (df if schema is None else enforce_schema(df, schema)).write.mode("overwrite")
+    if "/" in path_or_name:
+        writer.parquet(path_or_name)
+    else:
+        writer.saveAsTable(path_or_name)
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
