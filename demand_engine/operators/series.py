@@ -162,7 +162,7 @@ def split_by_date(
         sides = out.agg(
             F.count_if(F.col("split") == "train"), F.count_if(F.col("split") == "validation")
         ).first()
-        if 0 in sides:
+        if not all(sides):
             raise ValueError("train or validation set is empty after splitting: check the dates")
     return out
 
