@@ -8,10 +8,14 @@ from demand_engine.streaming import hourly
 from demand_engine.streaming.copy import incremental_copy
 
 
+def _events(sf_dir):
+    """As a pattern: a stream reads a table that is one file through a pattern only."""
+    return f"{sf_dir}/events[.]parquet"
+
+
 def _trip_stream(spark, sf_dir):
-    schema = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return fixtures.as_trips(events)
+    schema = fixtures.raw_events(spark, sf_dir).schema
+    return fixtures.as_trips(spark.readStream.schema(schema).parquet(_events(sf_dir)))
 
 
 @register("incremental_copy", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -19,7 +23,7 @@ def copy_events(spark, sf_dir):
     """Copied twice from the same checkpoint: the second run finds nothing new."""
     folder = shared_folder(use_utc(spark), "copy")
     for _ in range(2):
-        incremental_copy(spark, sf_dir, f"{folder}/table", f"{folder}/checkpoint", pattern="events.parquet")
+        incremental_copy(spark, _events(sf_dir), f"{folder}/table", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/table")
 
 

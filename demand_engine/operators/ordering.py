@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,31 +17,43 @@ def _present(value: Column, dtype: str) -> Column:
     return present & ~F.isnan(value) if dtype in ("double", "float") else present
 
 
-def rank_within(df: DataFrame, keys: list[str], order: list[str], weight: str) -> DataFrame:
-    """Adds ``_before`` (weight of the rows sorted before, within the key) and ``_total``.
+def values_at(
+    df: DataFrame, keys: list[str], value: str, weight: str, ranks: dict[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """Per key, the values at given ranks: ``total`` and one column per entry of ``ranks``.
+
+    Rows are sorted by value within their key and stand for ``weight`` equal values each. A rank
+    counts from 0 and is given as a function of the key's total weight; behind the end it gives null.
 
-    The rows are range-partitioned on (keys, order), so a key holding any share of the data is cut
-    into as many pieces as it needs. Only one sum per (piece, key) is added up across pieces. The
-    pieces are checkpointed because both readers have to see the same cut.
+    The rows are range-partitioned on (key, value), so a key holding any share of the data is cut into
+    as many pieces as it needs. Only one sum per (piece, key) is added up across pieces, and only the
+    pieces that hold a rank are sorted. The pieces are written out first, because both readers have to
+    see the same cut.
     """
-    pieces = df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
-    pieces = cut_lineage(pieces)
+    pieces = cut_lineage(df.repartitionByRange(*keys, value).withColumn("_piece", F.spark_partition_id()))
     sums = pieces.groupBy("_piece", *keys).agg(F.sum(weight).alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(
         "_piece",
         *keys,
+        "_sum",
         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
-        F.sum("_sum").over(Window.partitionBy(*keys)).alias("_total"),
-    )
-    inside = (
-        Window.partitionBy("_piece", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        F.sum("_sum").over(Window.partitionBy(*keys)).alias("total"),
     )
-    return (
-        pieces.join(starts, ["_piece", *keys])
-        .withColumn("_before", F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .drop("_piece", "_start")
+
+    def holds(rank: Column, first: str, n: str) -> Column:
+        return (rank >= F.col(first)) & (rank < F.col(first) + F.col(n))
+
+    wanted = {name: rank(F.col("total")) for name, rank in ranks.items()}
+    hit = reduce(or_, [holds(rank, "_start", "_sum") for rank in wanted.values()])
+    inside = Window.partitionBy("_piece", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = pieces.join(starts.where(hit), ["_piece", *keys]).withColumn(
+        "_before", F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
     )
+    found = [
+        F.max(F.when(holds(rank, "_before", weight), F.col(value))).alias(name) for name, rank in wanted.items()
+    ]
+    return ranked.groupBy(*keys).agg(F.max("total").alias("total"), *found)
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -55,26 +71,30 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         .groupBy(*keys, F.col(value).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = rank_within(counts, keys, ["_value"], "_n")
 
-    def value_at(rank: Column) -> Column:
-        holds = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n"))
-        return F.max(F.when(holds, F.col("_value")))
+    def at(p: float, total: Column) -> Column:
+        return F.lit(float(p)) * (total - 1)
 
-    aggs = [F.max("_total").alias("_total")]
+    ranks = {}
     for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_total") - 1)
-        aggs += [value_at(F.floor(at)).alias(f"_lo_{name}"), value_at(F.ceil(at)).alias(f"_hi_{name}")]
-    found = ranked.groupBy(*keys).agg(*aggs)
+        ranks[f"_lo_{name}"] = lambda total, p=p: F.floor(at(p, total))
+        ranks[f"_hi_{name}"] = lambda total, p=p: F.ceil(at(p, total))
+    found = values_at(counts, keys, "_value", "_n", ranks)
 
     def interpolate(name: str, p: float) -> Column:
-        at = F.lit(float(p)) * (F.col("_total") - 1)
+        place = at(p, F.col("total"))
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return (low + (high - low) * (at - F.floor(at))).alias(name)
+        return (low + (high - low) * (place - F.floor(place))).alias(name)
 
     return found.select(*keys, *[interpolate(name, p) for name, p in probs.items()])
 
 
+def key_at(df: DataFrame, key: str, ranks: dict[str, Callable[[Column], Column]]) -> dict[str, Column]:
+    """Scalars: the unique key at each rank of its order, null behind the last row."""
+    found = values_at(df.select(key).withColumn("_one", F.lit(1)), [], key, "_one", ranks)
+    return {name: found.select(name).scalar() for name in ranks}
+
+
 def sort_table(df: DataFrame, *order: str) -> DataFrame:
     """Global order for a result that is read in order."""
     return df.orderBy(*order)
@@ -94,15 +114,6 @@ def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(value), key).limit(k)
 
 
-def _key_at(df: DataFrame, key: str, positions: dict[str, int]) -> dict[str, Column]:
-    """Scalars: the key at each position (from 0) of the key order, null behind the last row."""
-    ranked = rank_within(df.select(key).withColumn("_one", F.lit(1)), [], [key], "_one")
-    return {
-        name: ranked.where(F.col("_before") == position).select(F.max(key)).scalar()
-        for name, position in positions.items()
-    }
-
-
 def page(df: DataFrame, key: str, offset: int, n: int) -> DataFrame:
     """Rows ``offset .. offset+n-1`` in the order of a unique key.
 
@@ -110,14 +121,14 @@ def page(df: DataFrame, key: str, offset: int, n: int) -> DataFrame:
     page costs no more than a near one, and no task holds the rows before it. To copy a whole table
     use the incremental copy instead.
     """
-    at = _key_at(df, key, {"first": offset, "last": offset + n - 1})
+    at = key_at(df, key, {"first": lambda _: F.lit(offset), "last": lambda _: F.lit(offset + n - 1)})
     after_first = F.coalesce(F.col(key) >= at["first"], F.lit(False))
     return df.where(after_first & F.coalesce(F.col(key) <= at["last"], F.lit(True)))
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """The n rows with the smallest unique key, for n too large to sort in one task."""
-    at = _key_at(df, key, {"last": n - 1})
+    at = key_at(df, key, {"last": lambda _: F.lit(n - 1)})
     return df.where(F.coalesce(F.col(key) <= at["last"], F.lit(True)))
 
 

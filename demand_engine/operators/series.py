@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from demand_engine.functions.calendar import timestamp_literal
-from demand_engine.operators.ordering import rank_within
+from demand_engine.operators.ordering import key_at
 
 # The lags and rolling windows of the demand model, in steps.
 LAGS = [1, 2, 3, 24, 48, 168]
@@ -137,15 +137,17 @@ def split_by_fraction(
     df: DataFrame, train: float = 0.8, validation: float = 0.1, time: str = "timestamp_hour"
 ) -> DataFrame:
     """Labels rows train, validation or test by the position of their time among the distinct times."""
-    times = df.select(time).distinct().withColumn("_one", F.lit(1))
-    ranked = rank_within(times, [], [time], "_one")
-    place = F.col("_before")
-    label = (
-        F.when(place < F.col("_total") * F.lit(train), "train")
-        .when(place < F.col("_total") * F.lit(train + validation), "validation")
-        .otherwise("test")
+    cuts = key_at(
+        df.select(time).distinct(),
+        time,
+        {
+            "train": lambda total: F.ceil(total * F.lit(train)),
+            "validation": lambda total: F.ceil(total * F.lit(train + validation)),
+        },
     )
-    return df.join(ranked.select(time, label.alias("split")), time)
+    before_cut = {name: F.coalesce(F.col(time) < cut, F.lit(True)) for name, cut in cuts.items()}
+    label = F.when(before_cut["train"], "train").when(before_cut["validation"], "validation").otherwise("test")
+    return df.withColumn("split", label)
 
 
 def split_by_date(

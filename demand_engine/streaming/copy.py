@@ -12,18 +12,17 @@ def incremental_copy(
     checkpoint: str,
     files_per_batch: int = 100,
     max_batches: int | None = None,
-    pattern: str = "*.parquet",
 ) -> int:
-    """Copies the files not copied yet, some per batch, and returns the number of batches run.
+    """Copies the files of ``src`` (a folder or a path pattern) not copied yet, some per batch, and
+    returns the number of batches run.
 
     The checkpoint knows what was copied, so a second call copies only what is new and a broken run
     goes on where it stopped, without losing or repeating rows. ``max_batches`` stops the call once
     that many batches are done; the batch that is then under way is left to the next call.
     """
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(src).schema
+    schema = spark.read.parquet(src).schema
     query = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(src)
         .writeStream.format("parquet")
