@@ -3,7 +3,7 @@
 from demand_engine import fixtures
 from demand_engine.catalog.common import TRIPS, out, register
 from demand_engine.operators.demand import distinct_ids
-from demand_engine.session import shared_folder, use_utc
+from demand_engine.session import cut_lineage, shared_folder, use_utc
 from demand_engine.streaming import hourly
 from demand_engine.streaming.copy import incremental_copy
 
@@ -65,7 +65,7 @@ def stream_closed_hours(spark, sf_dir):
 )
 def stream_filled_demand(spark, sf_dir):
     folder = shared_folder(spark, "filled")
-    ids = distinct_ids(fixtures.trips(spark, sf_dir))
+    ids = cut_lineage(distinct_ids(fixtures.trips(spark, sf_dir)))  # read again by every batch
     counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
     hourly.stream_filled_demand(counts, ids, f"{folder}/table", f"{folder}/checkpoint")
     return out(spark.read.parquet(f"{folder}/table").drop("batch_id"))

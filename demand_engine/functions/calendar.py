@@ -46,17 +46,26 @@ def iso_week(ts: Column | str) -> Column:
     return F.weekofyear(_col(ts))
 
 
+def flag(condition: Column) -> Column:
+    """1 where the condition holds, else 0 (also where it is null)."""
+    return F.when(condition, 1).otherwise(0)
+
+
+def zero_if_null(c: Column | str) -> Column:
+    return F.coalesce(_col(c), F.lit(0))
+
+
 def is_weekend(ts: Column | str) -> Column:
-    return (dow_mon0(ts) >= 5).cast("int")
+    return flag(dow_mon0(ts) >= 5)
 
 
 def is_holiday(ts: Column | str, kind: str = "fixed") -> Column:
     """``sunday``: every Sunday; ``fixed``: the three fixed dates. The federal calendar is a
     table: see :func:`demand_engine.operators.holidays.add_holidays`."""
     if kind == "sunday":
-        return (dow_mon0(ts) == 6).cast("int")
+        return flag(dow_mon0(ts) == 6)
     if kind == "fixed":
-        return F.date_format(_col(ts), "MM-dd").isin(FIXED_HOLIDAYS).cast("int")
+        return flag(F.date_format(_col(ts), "MM-dd").isin(FIXED_HOLIDAYS))
     raise ValueError(f"unknown holiday rule: {kind}")
 
 
@@ -73,15 +82,6 @@ def day_of(ts: Column | str) -> Column:
     return F.to_date(_col(ts))
 
 
-def flag(condition: Column) -> Column:
-    """1 where the condition holds, else 0 (also where it is null)."""
-    return F.when(condition, 1).otherwise(0)
-
-
-def zero_if_null(c: Column | str) -> Column:
-    return F.coalesce(_col(c), F.lit(0))
-
-
 def hour_axis(spark: SparkSession, start, end, step: str = "hour", name: str = "timestamp_hour") -> DataFrame:
     """All steps from start to end, both ends included."""
     span = F.sequence(timestamp_literal(start), timestamp_literal(end), step_interval(step))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demand_engine.functions.calendar import calendar_parts, hour_of, step_interval, timestamp_literal
+from demand_engine.functions.calendar import calendar_parts, hour_of, step_interval, timestamp_literal, zero_if_null
 from demand_engine.operators.clean import filter_window
 
 
@@ -67,8 +67,8 @@ def grid(
 
     Each id row unfolds its own time axis: no join.
     """
-    spread = spread_by(distinct_ids(ids, id), id)
-    return spread.select(F.explode(F.sequence(start, end, step_interval(step))).alias(out_time), F.col(id))
+    steps = F.explode(F.sequence(start, end, step_interval(step)))
+    return spread_by(distinct_ids(ids, id), id).select(steps.alias(out_time), F.col(id))
 
 
 def full_grid(
@@ -92,7 +92,7 @@ def fill_counts(
 ) -> DataFrame:
     """The cells of a given grid with their counts, 0 where there is none."""
     filled = cells.join(counts.select(time, id, target), [time, id], "left")
-    return filled.withColumn(target, F.coalesce(F.col(target), F.lit(0).cast("bigint")))
+    return filled.withColumn(target, zero_if_null(target).cast("bigint"))
 
 
 def fill_gaps(

@@ -169,11 +169,9 @@ def missing_pct(df: DataFrame) -> DataFrame:
     return shares.select(F.inline(pairs)).where("missing_pct > 0").orderBy(F.desc("missing_pct"), "column_name")
 
 
-def _unpivot(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(dtype).alias("value")) for c in cols]
-    )
-    return df.select(F.inline(pairs))
+def _unpivot(df: DataFrame, cols: list[str], dtype: str, ids: list[str] = (), name: str = "column_name") -> DataFrame:
+    cast = df.select(*ids, *[F.col(c).cast(dtype).alias(c) for c in cols])
+    return cast.unpivot(list(ids), cols, name, "value")
 
 
 def describe_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -315,12 +313,8 @@ def quality_report(df: DataFrame) -> DataFrame:
     ).select(
         F.inline(F.array(*[F.struct(F.lit(s).alias("slice"), F.col(s).alias("n")) for s in QUALITY_SLICES]))
     )
-    pairs = F.array(
-        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in QUALITY_MEASURES]
-    )
-    medians = exact_quantiles(
-        rows.select("slice", F.inline(pairs)), ["slice", "measure"], "value", {"median": 0.5}
-    )
+    measures = _unpivot(rows, QUALITY_MEASURES, "double", ["slice"], "measure")
+    medians = exact_quantiles(measures, ["slice", "measure"], "value", {"median": 0.5})
     wide = medians.groupBy("slice").pivot("measure", QUALITY_MEASURES).agg(F.first("median"))
     named = wide.toDF("slice", *[f"med_{m}" for m in QUALITY_MEASURES])
     return counts.join(named, "slice", "left")

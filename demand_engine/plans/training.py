@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.operators.clean import clip
-from demand_engine.operators.features import add_cyclic, add_target_features, feature_columns
+from demand_engine.operators.features import add_cyclic, add_target_features, align_features, feature_columns
 from demand_engine.operators.score import rmse
 from demand_engine.operators.series import split_by_date
 
@@ -139,12 +139,23 @@ def train(
         return Pipeline(stages=stages).fit(sides.withColumn("is_validation", F.col("split") == "validation"))
 
 
+def model_inputs(model: PipelineModel) -> list[str]:
+    """The columns a fitted model reads."""
+    made, inputs = set(), []
+    for stage in model.stages[:-1]:
+        cols = stage.getInputCols() if isinstance(stage, VectorAssembler) else [stage.getInputCol()]
+        inputs += [c for c in cols if c not in made]
+        made.add(stage.getOutputCol())
+    return inputs
+
+
 def predict(
     model: PipelineModel, rows: DataFrame, id: str = "pickup_community_area", time: str = "timestamp_hour"
 ) -> DataFrame:
-    """(id, time, prediction), never below zero."""
+    """(id, time, prediction), never below zero. A feature the model knows and the rows lack raises."""
     ready = rows if "area" in rows.columns else rows.withColumn("area", F.col(id).cast("string"))
-    return clip(model.transform(ready).select(id, time, "prediction"), "prediction", lower=0.0)
+    aligned = align_features(ready, model_inputs(model), [id, time])
+    return clip(model.transform(aligned).select(id, time, "prediction"), "prediction", lower=0.0)
 
 
 def validation_rmse(model: PipelineModel, rows: DataFrame, train_end, val_end, time: str, target: str) -> float:

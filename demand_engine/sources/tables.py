@@ -37,10 +37,13 @@ def require(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def scan_events(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
-    """Only the listed columns reach the scan; zone-less timestamps become UTC timestamps."""
+    """Only the listed columns reach the scan; zone-less timestamps become UTC timestamps and NaN
+    becomes null, which the aggregates leave out."""
     df = require(spark.read.parquet(path), cols).select(*cols)
-    zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
+    nan = F.lit(float("nan"))
+    made = {c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"}
+    made.update({c: F.nullif(F.col(c), nan.cast(t)) for c, t in df.dtypes if t in ("double", "float")})
+    return df.withColumns(made) if made else df
 
 
 def sample_range(

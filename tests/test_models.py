@@ -62,4 +62,8 @@ def test_whole_run(spark, tmp_path):
     assert scored.rmse < mean_error
     assert spark.read.parquet(f"{out}/trials").where("state = 'SUCCEEDED'").count() == 2
     assert spark.read.parquet(f"{out}/runs").first().forecast_horizon == 24
+    model = training.load_model(f"{out}/model")
+    assert "target_lag_24" in training.model_inputs(model)
+    with pytest.raises(ValueError, match="target_lag_24"):
+        training.predict(model, spark.read.parquet(f"{out}/demand"))
     assert spark.read.csv(f"{out}/predictions", header=True).where("cast(prediction as double) < 0").count() == 0

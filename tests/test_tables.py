@@ -10,6 +10,14 @@ def test_pruned_scan(spark, capsys):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in capsys.readouterr().out
 
 
+def test_scan_maps_nan_to_null(spark, tmp_path):
+    spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double").write.parquet(str(tmp_path / "v"))
+    got = tables.scan_events(spark, str(tmp_path / "v"), ["v"])
+    assert got.where("v is null").count() == 2 and got.where("v = 1").count() == 1
+    with pytest.raises(ValueError):
+        tables.scan_events(spark, str(tmp_path / "v"), ["w"])
+
+
 def test_sample_is_a_subset_and_repeatable(spark):
     df = spark.range(2000).withColumn("v", F.when(F.col("id") % 10 > 0, F.col("id")))
     one = {r.id for r in tables.sample_rows(df.repartition(3), ["v"], 30, 42, "id").collect()}
