@@ -35,17 +35,13 @@ def register(name: str, oracle: str | None = None):
 
 def out(df: DataFrame) -> DataFrame:
     """The result in the types the oracle has: zone-less times, dates as text, rounded doubles."""
-    cols = []
-    for name, dtype in df.dtypes:
-        c = F.col(f"`{name}`")
-        if dtype == "timestamp":
-            c = c.cast("timestamp_ntz")
-        elif dtype == "date":
-            c = c.cast("string")
-        elif dtype == "double":
-            c = F.round(c, 6)
-        cols.append(c.alias(name))
-    return df.select(*cols)
+    shown = {
+        "timestamp": lambda c: c.cast("timestamp_ntz"),
+        "date": lambda c: c.cast("string"),
+        "double": lambda c: F.round(c, 6),
+    }
+    changed = {name: shown[dtype](F.col(f"`{name}`")) for name, dtype in df.dtypes if dtype in shown}
+    return df.withColumns(changed) if changed else df
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

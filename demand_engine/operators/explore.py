@@ -256,10 +256,16 @@ def unique_values(df: DataFrame, id: str = "pickup_community_area", col: str = "
     return df.select(id, col).distinct()
 
 
-def unique_value_lists(df: DataFrame, id: str = "pickup_community_area", col: str = "prediction") -> DataFrame:
-    """The same as one sorted array per series. For forecasts, whose series hold at most one row per
-    step of the horizon; for longer tables use ``unique_values``."""
-    return unique_values(df, id, col).groupBy(id).agg(F.array_sort(F.collect_list(col)).alias("values"))
+def unique_value_lists(
+    df: DataFrame, id: str = "pickup_community_area", col: str = "prediction", at_most: int = 10_000
+) -> DataFrame:
+    """The same as one sorted array per series, for forecasts: their series hold at most one row per
+    step of the horizon. A series with more than ``at_most`` values raises (that runs a count)."""
+    values = unique_values(df, id, col)
+    sizes = values.groupBy(id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > at_most)
+    if not sizes.isEmpty():
+        raise ValueError(f"a series has more than {at_most} values: use unique_values instead")
+    return values.groupBy(id).agg(F.array_sort(F.collect_list(col)).alias("values"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
@@ -289,7 +295,7 @@ def point_density(df: DataFrame, lat: str, lon: str, cell: float = 0.01) -> Data
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Quality slices of raw trips and the measures reported for them.
+# Quality slices of raw trips and the measures reported for them.
 QUALITY_SLICES = {
     "duration_not_positive": "trip_minutes <= 0",
     "distance_not_positive": "trip_miles <= 0",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demand_engine.functions.calendar import cyclic, dow_mon0
+from demand_engine.functions.calendar import cyclic, dow_mon0, flag
 from demand_engine.operators.demand import distinct_ids
 from demand_engine.operators.series import LAGS, ROLLING_WINDOWS, add_lags, add_rolling_means
 from demand_engine.sources.tables import require
@@ -33,9 +33,8 @@ def one_hot(
     df: DataFrame, ids: list, id: str = "pickup_community_area", prefix: str = "area_"
 ) -> DataFrame:
     """One 0/1 column per id of the dictionary; a null id is 0 in all of them."""
-    return df.withColumns(
-        {f"{prefix}{v}": F.coalesce((F.col(id) == v).cast("int"), F.lit(0)) for v in ids}
-    )
+    series = F.col(id)
+    return df.withColumns({f"{prefix}{v}": flag(series == v) for v in ids})
 
 
 def feature_columns(df: DataFrame) -> list[str]:

@@ -67,3 +67,5 @@ def test_pct(rows):
 def test_unique_lists(rows):
     df = rows([(1, 3.0), (1, 1.0), (1, 3.0), (2, 2.0)], "pickup_community_area int, prediction double")
     assert {r[0]: r["values"] for r in explore.unique_value_lists(df).collect()} == {1: [1.0, 3.0], 2: [2.0]}
+    with pytest.raises(ValueError):
+        explore.unique_value_lists(df, at_most=1)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from demand_engine.operators import features as feats
 from demand_engine.operators import series
 from demand_engine.plans.forecast import future_features
@@ -48,6 +49,15 @@ def test_windows_share_one_shuffle(demand, capsys):
     assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
 
 
+def test_preparation_and_features_shuffle_twice(spark, capsys):
+    """Once for the counts, once for the series; gap filling and all windows share the second."""
+    table = queries()["demand_table"](spark, "/root/testdata/sf0.001")
+    feats.add_target_features(table.withColumn(T, F.col(T).cast("timestamp"))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange ") == 2 and "Join" not in plan
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
+
+
 def test_split_by_fraction(demand):
     sizes = {r.split: r["count"] for r in series.split_by_fraction(demand).groupBy("split").count().collect()}
     assert sizes == {"train": 640, "validation": 80, "test": 80}
