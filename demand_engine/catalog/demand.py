@@ -6,8 +6,6 @@ from demand_engine.catalog.common import (
     COUNTS,
     DEMAND,
     END,
-    FORECAST_START,
-    HORIZON,
     OBSERVED_DEMAND,
     START,
     TRIPS,
@@ -230,9 +228,6 @@ def cyclic_weekday(spark, sf_dir):
     return out(rows.withColumns({"dow_sin": dow_sin, "dow_cos": dow_cos}))
 
 
-_DAYS = "unnest(generate_series({low}, {high}, INTERVAL 1 DAY))"
-
-
 def _daily(source: str, low: str, high: str, id: str) -> str:
     return f"""WITH counts AS ({source}), days AS (SELECT unnest(generate_series({low}, {high}, INTERVAL 1 DAY)) AS day)
     SELECT d.day, i.{id}, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM days d CROSS JOIN (SELECT DISTINCT {id} FROM counts) i

@@ -16,7 +16,7 @@ from demand_engine.catalog.common import (
 )
 from demand_engine.fixtures import read
 from demand_engine.functions import calendar, trip
-from demand_engine.operators import clean, explore, holidays
+from demand_engine.operators import clean, explore
 
 
 def measured(spark, sf_dir):

@@ -11,7 +11,7 @@ from demand_engine.operators.ordering import append, page, preview, sort_table,
 from demand_engine.session import shared_folder, use_utc
 from demand_engine.sources import tables
 
-_DEMAND_COLUMNS = "SELECT * FROM demand"
+_STORED_DEMAND = DEMAND + " SELECT * REPLACE (pickup_community_area::BIGINT AS pickup_community_area) FROM demand"
 
 
 @register("scan_events", "SELECT ts, user_id FROM events")
@@ -59,7 +59,7 @@ def csv_round_trip(spark, sf_dir):
     return out(tables.read_csv(spark, folder, schema, "timestamp_hour"))
 
 
-@register("replace_table", DEMAND + _DEMAND_COLUMNS.replace("SELECT *", " SELECT * REPLACE (pickup_community_area::BIGINT AS pickup_community_area)"))
+@register("replace_table", _STORED_DEMAND)
 def replace_table(spark, sf_dir):
     table = demand(spark, sf_dir)
     folder = shared_folder(spark, "table")
@@ -68,7 +68,7 @@ def replace_table(spark, sf_dir):
     return out(spark.read.parquet(folder))
 
 
-@register("enforce_schema", DEMAND + " SELECT * REPLACE (pickup_community_area::BIGINT AS pickup_community_area) FROM demand")
+@register("enforce_schema", _STORED_DEMAND)
 def enforce_schema(spark, sf_dir):
     return out(tables.enforce_schema(demand(spark, sf_dir), tables.DEMAND_SCHEMA))
 

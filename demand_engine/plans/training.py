@@ -31,6 +31,7 @@ DEFAULTS = {
     "reg_lambda": 1.0,
 }
 SEED = 42
+MAX_TRIALS = 1000
 
 # Searched ranges as (low, high, scale).
 SEARCH_RANGES = {
@@ -186,8 +187,11 @@ def run_trials(
     target: str = "trip_count",
 ) -> DataFrame:
     """The trials with ``state`` and ``rmse``. Every fit is a distributed job on the shared rows; a
-    trial that fails is recorded as such. The trial table is a handful of rows."""
+    trial that fails is recorded as such."""
     names = [c for c in trials.columns if c != "trial_id"]
+    planned = trials.limit(MAX_TRIALS + 1).collect()
+    if len(planned) > MAX_TRIALS:
+        raise ValueError(f"more than {MAX_TRIALS} trials")
 
     def run(trial) -> tuple:
         params = {c: trial[c] for c in names}
@@ -199,7 +203,7 @@ def run_trials(
         return (trial["trial_id"], *[trial[c] for c in names], *outcome)
 
     with kept(rows), ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = list(pool.map(inheritable_thread_target(trials.sparkSession)(run), trials.collect()))
+        done = list(pool.map(inheritable_thread_target(trials.sparkSession)(run), planned))
     fields = ", ".join(f"{n} {t}" for n, t in trials.dtypes)
     return trials.sparkSession.createDataFrame(done, f"{fields}, state string, rmse double")
 
