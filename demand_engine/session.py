@@ -1,8 +1,7 @@
-"""Session settings and the shared folder the multi-pass operators write to."""
+"""Session settings and the shared folder that written intermediate tables go to."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,26 +14,23 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``; where that is unset, a folder below the
+    session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="demand-engine-")
-        sc.setCheckpointDir(configured)
-    return configured or sc.getCheckpointDir()
+    if configured is None:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return configured.rstrip("/")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, one per call."""
-    return f"{_ensure_checkpoint_dir(spark).rstrip('/')}/demand_engine/{purpose}-{uuid.uuid4().hex}"
+    """A new folder below the shared root, one per call."""
+    return f"{shared_root(spark)}/demand_engine/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, purpose: str = "pieces") -> DataFrame:
     """The same rows as a table in the shared folder: lost executors cost nothing upstream, and all
     later readers see the same rows."""
-    folder = shared_folder(df.sparkSession, "pieces")
+    folder = shared_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
