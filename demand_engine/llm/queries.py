@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demand_engine.llm import exact_dedup, line_dedup, mixing
+from demand_engine.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing
 from demand_engine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,63 @@ def register(name: str, oracle: str | None = None):
     return keep
 
 
+JACCARD_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+'), []) AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i + 4] END AS shingle
+  FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS u(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+@register("op6_ngram_jaccard_join", JACCARD_SQL)
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+DECONTAMINATION_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents, letters),
+b AS (
+  SELECT item_id, coalesce(regexp_extract_all(translate(text, up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM benchmark, letters),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS win
+  FROM b, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS u(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+occ AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM d, sizes, unnest(range(1, len(ws) - n + 2)) AS u(i) WHERE len(ws) >= n),
+m AS (SELECT doc_id, i, n, item_id FROM occ JOIN win USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM m, unnest(range(i, i + n)) AS u(j) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@register("op9_decontamination", DECONTAMINATION_SQL)
+def op9_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 LINE_DEDUP_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (
