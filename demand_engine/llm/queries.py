@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demand_engine.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, mixing
+from demand_engine.llm import decontaminate, exact_dedup, jaccard_join, langid, line_dedup, mixing
 from demand_engine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,14 @@ def register(name: str, oracle: str | None = None):
     return keep
 
 
+@register("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    test = langid.held_out(F.col("doc_id"))
+    model = langid.learn(documents.where(~test))
+    return langid.predict(documents, model).withColumn("held_out", test)
+
+
 JACCARD_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, coalesce(regexp_extract_all(
