@@ -157,10 +157,13 @@ v AS (
   SELECT *, sum(source_size::DOUBLE) OVER () AS total, sum(w) OVER () AS w_all,
     coalesce(sum(cap) OVER b, 0) AS cap_before, coalesce(sum(w) OVER b, 0) AS w_before
   FROM s WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-o AS (SELECT *, (total - cap_before) / (w_all - w_before) AS level FROM v),
-e AS (SELECT min(level) FILTER (level * w <= cap) AS last FROM o),
+o AS (
+  SELECT *, (total - cap_before) / (w_all - w_before) AS level,
+    row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS rank FROM v),
+e AS (SELECT min(rank) AS first, arg_min(level, rank) AS level FROM o WHERE level * w <= cap),
 t AS (
-  SELECT source, source_size, CASE WHEN level * w <= cap THEN least(cap, last * w) ELSE cap END AS target FROM o, e),
+  SELECT source, source_size,
+    CASE WHEN rank >= e.first THEN least(cap, e.level * w) ELSE cap END AS target FROM o, e),
 p AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
 r AS (
