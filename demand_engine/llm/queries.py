@@ -141,6 +141,18 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+_ROUNDS = ",\n".join(
+    f"""
+g{k} AS (SELECT *, NOT more AND size <= gap AS fits FROM f{k - 1}),
+h{k} AS (
+  SELECT * REPLACE (more OR (fits AND sum(size) FILTER (fits) OVER (PARTITION BY source ORDER BY key, doc_id) <= gap) AS more),
+    more AS had FROM g{k}),
+f{k} AS (
+  SELECT * EXCLUDE (fits, had) REPLACE (
+    gap - coalesce(sum(size) FILTER (more AND NOT had) OVER (PARTITION BY source), 0)::BIGINT AS gap) FROM h{k})"""
+    for k in range(1, mixing.ROUNDS + 1)
+)
+
 MIXING_SQL = f"""
 WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
 d AS (
@@ -166,13 +178,11 @@ t AS (
     CASE WHEN rank >= e.first THEN least(cap, e.level * w) ELSE cap END AS target FROM o, e),
 p AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
-r AS (
-  SELECT d.*, source_size, target, epochs, target - epochs * source_size AS rest,
-    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target,
-  ((epochs + CASE WHEN before + size / 2 <= rest AND before < rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM r
+f0 AS (
+  SELECT d.*, source_size, target, epochs, round(target - epochs * source_size)::BIGINT AS gap, FALSE AS more
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+{_ROUNDS}
+SELECT doc_id, size, source_size, target, ((epochs + more::BIGINT) * size)::BIGINT AS taken FROM f{mixing.ROUNDS}
 """
 
 
