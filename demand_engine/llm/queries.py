@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demand_engine.llm import decontaminate, exact_dedup, jaccard_join, langid, line_dedup, mixing
+from demand_engine.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    langid,
+    line_dedup,
+    mixing,
+    token_counts,
+    toxicity,
+    warc,
+)
 from demand_engine.llm.common import table
+from demand_engine.session import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +44,71 @@ def op1_language_id(spark, sf_dir):
     return langid.predict(documents, model).withColumn("held_out", test)
 
 
+@register("op2_warc")
+def op2_warc(spark, sf_dir):
+    index = warc.write_bundles(table(spark, sf_dir, "pages"))
+    return warc.read_bundles(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    """Estimates first, exact counts as revisions, then exact copies deleted; the revisions are delivered twice."""
+    documents = table(spark, sf_dir, "documents")
+    estimate = F.ceil(F.coalesce(F.char_length("text"), F.lit(0)) / 4)
+    version = F.lit(token_counts.VERSION).alias("tokenizer")
+
+    def change(rows, op, tokens):
+        return rows.select("doc_id", "source", "lang", version, F.lit(op).alias("op"), tokens.cast("bigint").alias("tokens"), F.lit(0).alias("seq"))
+
+    rollup = token_counts.Rollup(spark, shared_folder(spark, "token-counts"))
+    rollup.apply("inserts", change(documents, "insert", estimate))
+    counted = cut_lineage(token_counts.count_tokens(documents), "token-counts")
+    for _ in range(2):
+        rollup.apply("revisions", change(counted, "revise", F.col("tokens")))
+    copies = documents.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("_keep"), F.count(F.lit(1)).alias("n"))
+    extra = (
+        documents.select("doc_id", "source", "lang", F.sha2("text", 256).alias("h"))
+        .join(copies.where("n > 1 and h is not null"), "h")
+        .where("doc_id <> _keep")
+    )
+    rollup.apply("deletes", change(extra, "delete", F.lit(None)))
+    rollup.compact()
+    return rollup.totals()
+
+
+CHAT_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + length(text) + 15 + length(text) - length(translate(text, '\#<', '')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+@register("op4_chat_formatting", CHAT_SQL)
+def op4_chat_formatting(spark, sf_dir):
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    test = langid.held_out(F.col("doc_id"))
+    field = toxicity.learn(documents, table(spark, sf_dir, "labels").where(~test))
+    return toxicity.score(documents, field).select(
+        "doc_id", test.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
+
+
 JACCARD_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, coalesce(regexp_extract_all(

@@ -85,12 +85,22 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: np.ndarray):
     ends[before] = inside[before]
     starts = np.flatnonzero(begins)
     ends = np.flatnonzero(ends) + 1
-    up, down = powers(n)
-    sums = np.empty(n + 1, dtype=np.uint64)
+    return starts, ends, range_hashes(running(low), starts, ends), np.searchsorted(starts, offsets)
+
+
+def running(low: np.ndarray) -> np.ndarray:
+    """The running sum that range_hashes reads from."""
+    up, _ = powers(len(low))
+    sums = np.empty(len(low) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE[low] * up[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    return starts, ends, hashes, np.searchsorted(starts, offsets)
+    np.cumsum(_BYTE[low] * up[: len(low)], out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges [start, end): equal for equal bytes, wherever they stand."""
+    _, down = powers(len(sums))
+    return mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
