@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.llm import decontaminate, jaccard_join, langid, line_dedup, mixing
-from demand_engine.llm.common import table
+from demand_engine.llm.common import table, unused
 from demand_engine.session import cut_lineage
 
 
 def _only(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of documents whose id is among ``ids`` (``doc_id``)."""
-    return documents.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id") == F.col("_id"), "left_semi")
+    (key,) = unused(documents, "key")
+    return documents.join(ids.select(F.col("doc_id").alias(key)).distinct(), F.col("doc_id") == F.col(key), "left_semi")
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of df is called that."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -255,7 +255,8 @@ def _may_link(per_cent: int) -> Column:
     differing = sum(
         (F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_LONGS)), F.lit(0)
     )
-    return size_bound & (differing * (100 + per_cent) <= (s + t) * (100 - per_cent))
+    # Null, for an id with several texts, decides nothing.
+    return F.coalesce(size_bound & (differing * (100 + per_cent) <= (s + t) * (100 - per_cent)), F.lit(True))
 
 
 def links(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +269,7 @@ def links(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -
 
     info = signed.where("info is not null").select("doc_id", "own", "info.*")
     reps = info.where("own").groupBy("digest", "digest2").agg(F.min("doc_id").alias("rep"))
-    nodes = info.where("own").join(reps, ["digest", "digest2"]).select("doc_id", "s", "rep").distinct()
+    nodes = info.where("own").join(reps, ["digest", "digest2"]).select("doc_id", "s", "rep")
 
     # The chosen signatures of each rep: the rarest, as many as decide.
     shared = signed.where("info is null").select("doc_id", "own", "sig", "n")
@@ -292,7 +293,10 @@ def links(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -
         .select("a", F.col("rep").alias("b"))
         .distinct()
     )
-    sketches = info.where("own").groupBy("doc_id").agg(F.first("s").alias("s"), F.first("sketch").alias("sketch"))
+    one_text = F.min("digest") == F.max("digest")
+    sketches = info.where("own").groupBy("doc_id").agg(
+        F.when(one_text, F.first("s")).alias("s"), F.when(one_text, F.first("sketch")).alias("sketch")
+    )
 
     def plausible(pairs: DataFrame) -> DataFrame:
         one = sketches.select(F.col("doc_id").alias("a"), F.struct("s", "sketch").alias("x"))
@@ -310,7 +314,8 @@ def links(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -
     apart = placed.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     left = cut_lineage(
         placed.join(apart.select("sig"), "sig", "left_semi")
-        .join(sketches.withColumnRenamed("doc_id", "rep").drop("s"), "rep")
+        .drop("s")
+        .join(sketches.withColumnRenamed("doc_id", "rep"), "rep")
         .select("sig", "rep", "component", "s", "sketch"),
         "apart",
     )
@@ -327,8 +332,16 @@ def links(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -
 
 
 def similarity_classes(documents: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT) -> DataFrame:
-    """Per document ``doc_id, n_shingles, component_id``: the smallest id reachable over links."""
+    """Per row ``doc_id, n_shingles, component_id``: the smallest id reachable over links."""
     nodes, found = links(documents, size, per_cent)
+    nameless = (
+        pick(documents, doc_id="doc_id", text="text")
+        .where("doc_id is null")
+        .select(F.lit(0).cast("bigint").alias("doc_id"), "text")
+        .mapInArrow(_sign({}, size, per_cent), _SIGNED_DDL)
+        .where("info is not null and own")
+        .select(F.lit(None).cast("bigint").alias("doc_id"), F.col("info.s").cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
+    )
     # An id with several texts ties their reps together.
     nodes = cut_lineage(nodes, "nodes")
     own = nodes.where("s > 0").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
@@ -337,4 +350,4 @@ def similarity_classes(documents: DataFrame, size: int = SHINGLE, per_cent: int
         nodes.join(labels, nodes["doc_id"] == labels["id"], "left")
         .select("doc_id", F.col("s").cast("bigint").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     )
-    return placed
+    return placed.union(nameless)

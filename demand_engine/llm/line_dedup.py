@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demand_engine.llm.common import pick
+from demand_engine.llm.common import pick, unused
 from demand_engine.session import cut_lineage
 
 LEAD = 3
@@ -100,22 +100,23 @@ def drop_recurring_lines(
     ``n_dropped``. These two replace columns of the same names. A text counts once per template, with the
     surroundings of the template's first line in it."""
     found = cut_lineage(occurrences(documents), "lines")
+    row_hash, key, key_hash, gone = unused(documents, "row_hash", "key", "key_hash", "gone")
     dropped = (
         found.join(recurring(found, min_docs, short_docs, min_spread), "template", "left_semi")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .agg(F.collect_set("line_no").alias("_gone"))
+        .groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(key_hash))
+        .agg(F.collect_set("line_no").alias(gone))
     )
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone), i)), "\n")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint")
     return (
-        documents.withColumn("_text_hash", _text_hash())
-        .join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
+        documents.withColumn(row_hash, _text_hash())
+        .join(dropped, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(row_hash) == F.col(key_hash)), "left")
         .withColumns(
             {
-                "n_lines": F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint"),
-                "n_dropped": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("bigint"),
-                "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept),
+                "n_lines": n_lines,
+                "n_dropped": F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("bigint"),
+                "text": F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept),
             }
         )
-        .drop("_text_hash", "_id", "_hash", "_gone")
+        .drop(row_hash, key, key_hash, gone)
     )
