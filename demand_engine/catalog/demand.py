@@ -116,27 +116,30 @@ def future_grid(spark, sf_dir):
     return out(holidays.add_holidays(made, holidays.federal_holidays(spark, 2024, 2024)))
 
 
-_FEDERAL_DAYS = {
-    1995: "01-01 01-02 01-16 02-20 05-29 07-04 09-04 10-09 11-10 11-11 11-23 12-25",
-    1996: "01-01 01-15 02-19 05-27 07-04 09-02 10-14 11-11 11-28 12-25",
-    1997: "01-01 01-20 02-17 05-26 07-04 09-01 10-13 11-11 11-27 12-25",
-    1998: "01-01 01-19 02-16 05-25 07-03 07-04 09-07 10-12 11-11 11-26 12-25",
-    1999: "01-01 01-18 02-15 05-31 07-04 07-05 09-06 10-11 11-11 11-25 12-24 12-25 12-31",
-    2000: "01-01 01-17 02-21 05-29 07-04 09-04 10-09 11-10 11-11 11-23 12-25",
-    2001: "01-01 01-15 02-19 05-28 07-04 09-03 10-08 11-11 11-12 11-22 12-25",
-}
-_FEDERAL = ", ".join(f"'{year}-{day}'" for year, days in _FEDERAL_DAYS.items() for day in days.split())
+_NTH = [(1, 1, 3, 1986), (2, 1, 3, 1971), (9, 1, 1, 1894), (10, 1, 2, 1971), (11, 4, 4, 1942)]
+_SAME = [(1, 1, 1871), (6, 19, 2021), (7, 4, 1871), (11, 11, 1978), (12, 25, 1871)]
+_FEDERAL = (
+    "WITH years AS (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS y FROM orders), "
+    "same AS ("
+    + " UNION ALL ".join(f"SELECT make_date(y, {m}, {d}) AS d FROM years WHERE y >= {since}" for m, d, since in _SAME)
+    + "), days AS (SELECT d FROM same UNION SELECT d - 1 FROM same WHERE isodow(d) = 6 UNION SELECT d + 1 FROM same WHERE isodow(d) = 7"
+    + "".join(
+        f" UNION SELECT make_date(y, {m}, 1) + CAST(({w} - isodow(make_date(y, {m}, 1)) + 7) % 7 + {7 * (n - 1)} AS INT) FROM years WHERE y >= {since}"
+        for m, w, n, since in _NTH
+    )
+    + " UNION SELECT make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INT) FROM years WHERE y >= 1971)"
+)
 
 
 @register(
     "orders_on_holidays",
-    f"""SELECT o_orderkey, CASE WHEN strftime(o_orderdate, '%Y-%m-%d') IN ({_FEDERAL}) THEN 1 ELSE 0 END AS is_holiday
+    _FEDERAL
+    + """ SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) IN (SELECT CAST(d AS DATE) FROM days) THEN 1 ELSE 0 END AS is_holiday
     FROM orders""",
 )
 def orders_on_holidays(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    flagged = holidays.add_holidays(orders, holidays.federal_holidays(spark, 1995, 2001), "o_orderdate")
-    return out(flagged.select("o_orderkey", "is_holiday"))
+    return out(holidays.add_holidays(orders, time="o_orderdate").select("o_orderkey", "is_holiday"))
 
 
 @register(
@@ -238,8 +241,8 @@ def _daily(source: str, low: str, high: str, id: str) -> str:
     "daily_orders_per_nation",
     _daily(
         "SELECT date_trunc('day', o_orderdate) AS day, c_nationkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
-        "TIMESTAMP '1995-01-01'",
-        "TIMESTAMP '2001-08-01'",
+        "(SELECT min(day) FROM counts)",
+        "(SELECT max(day) FROM counts)",
         "c_nationkey",
     ),
 )
@@ -248,7 +251,7 @@ def daily_orders_per_nation(spark, sf_dir):
     counts = ops.demand_by_lookup(
         orders, customers, "o_custkey", "c_custkey", "c_nationkey", "o_orderdate", "day", "day", "n"
     )
-    low, high = calendar.timestamp_literal("1995-01-01"), calendar.timestamp_literal("2001-08-01")
+    low, high = ops.observed_bounds(counts, "day", "n")
     return out(ops.fill_gaps(counts, low, high, "day", "c_nationkey", "n", "day"))
 
 
@@ -264,5 +267,5 @@ def daily_orders_per_nation(spark, sf_dir):
 def daily_shipments_per_supplier(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), "l_suppkey")
     counts = ops.hourly_demand(rows, "l_shipdate", "l_suppkey", "day", "day", "n")
-    low, high = counts.select(F.min("day")).scalar(), counts.select(F.max("day")).scalar()
+    low, high = ops.observed_bounds(counts, "day", "n")
     return out(ops.fill_gaps(counts, low, high, "day", "l_suppkey", "n", "day"))

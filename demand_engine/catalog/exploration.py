@@ -117,13 +117,8 @@ _AGGS = {
     + " FROM trips GROUP BY 1",
 )
 def agg_by(spark, sf_dir):
-    rows = trips(spark, sf_dir)
-    made = None
-    for fn in _AGGS:
-        one = explore.agg_by(rows, ["payment_type"], "trip_total", fn, name=fn)
-        one = one.withColumn(fn, F.col(fn).cast("double"))
-        made = one if made is None else made.join(one, "payment_type")
-    return out(made)
+    made = explore.agg_by(trips(spark, sf_dir), ["payment_type"], "trip_total", list(_AGGS))
+    return out(made.select("payment_type", *[F.col(fn).cast("double") for fn in _AGGS]))
 
 
 @register(
@@ -454,12 +449,7 @@ def quality_report(spark, sf_dir):
     ),
 )
 def quality_top(spark, sf_dir):
-    rows = trip.add_trip_minutes(trips(spark, sf_dir))
-    made = None
-    for name in explore.QUALITY_SLICES:
-        one = explore.quality_top(rows, name, 3).select(F.lit(name).alias("slice"), "payment_type", "n")
-        made = one if made is None else made.unionByName(one)
-    return out(made)
+    return out(explore.quality_top(trip.add_trip_minutes(trips(spark, sf_dir)), 3))
 
 
 @register(

@@ -1,30 +1,43 @@
 """Registered queries that run a stream over the events until it has read everything."""
 
+from pyspark.sql import functions as F
+
 from demand_engine import fixtures
 from demand_engine.catalog.common import TRIPS, out, register
 from demand_engine.operators.demand import distinct_ids
 from demand_engine.session import cut_lineage, shared_folder, use_utc
 from demand_engine.streaming import hourly
-from demand_engine.streaming.copy import incremental_copy
+from demand_engine.streaming.copy import incremental_copy, read_copy
+
+
+FILES = 6
 
 
-def _events(sf_dir):
-    """As a pattern: a stream reads a table that is one file through a pattern only."""
-    return f"{sf_dir}/events[.]parquet"
+def _landed(spark, sf_dir):
+    """The events in several files, one after the other by time, as they would land: a stream of several
+    batches in which nothing comes too late."""
+    folder, events = shared_folder(use_utc(spark), "landed"), fixtures.raw_events(spark, sf_dir)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    part = F.floor((at - low) * FILES / (high - low + 1))
+    for k in range(FILES):
+        events.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+    return folder
 
 
 def _trip_stream(spark, sf_dir):
+    folder = _landed(spark, sf_dir)
     schema = fixtures.raw_events(spark, sf_dir).schema
-    return fixtures.as_trips(spark.readStream.schema(schema).parquet(_events(sf_dir)))
+    return fixtures.as_trips(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
 
 
 @register("incremental_copy", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def copy_events(spark, sf_dir):
-    """Copied twice from the same checkpoint: the second run finds nothing new."""
-    folder = shared_folder(use_utc(spark), "copy")
-    for _ in range(2):
-        incremental_copy(spark, _events(sf_dir), f"{folder}/table", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/table")
+    """Two batches, then the others from the same checkpoint; a last run finds nothing new."""
+    folder, landed = shared_folder(use_utc(spark), "copy"), _landed(spark, sf_dir)
+    for limit in (2, None, None):
+        incremental_copy(spark, landed, f"{folder}/table", f"{folder}/checkpoint", 1, limit)
+    return read_copy(spark, f"{folder}/table")
 
 
 @register(
@@ -37,6 +50,7 @@ def stream_hourly_demand(spark, sf_dir):
     folder = shared_folder(spark, "running")
     counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
     hourly.write_running_counts(counts, f"{folder}/table", f"{folder}/checkpoint")
+    hourly.compact_running_counts(spark, f"{folder}/table")
     return out(hourly.read_running_counts(spark, f"{folder}/table"))
 
 
@@ -65,7 +79,10 @@ def stream_closed_hours(spark, sf_dir):
 )
 def stream_filled_demand(spark, sf_dir):
     folder = shared_folder(spark, "filled")
-    ids = cut_lineage(distinct_ids(fixtures.trips(spark, sf_dir)))  # read again by every batch
+    seen = fixtures.trips(spark, sf_dir).where("pickup_community_area is not null")
+    earliest = seen.select(F.min_by("pickup_community_area", "trip_start_timestamp")).scalar()
+    # Read again by every batch. The earliest zone is left out: the stream meets it.
+    ids = cut_lineage(distinct_ids(seen).where(F.col("pickup_community_area") != earliest))
     counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
     hourly.stream_filled_demand(counts, ids, f"{folder}/table", f"{folder}/checkpoint")
     return out(spark.read.parquet(f"{folder}/table").drop("batch_id"))

@@ -131,16 +131,14 @@ def append_batches(spark, sf_dir):
 
 @register(
     "hour_axis",
-    f"""SELECT h AS timestamp_hour, count(e.ts) AS n_events
-    FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-31 00:00:00', TIMESTAMP '2024-01-30 23:59:59', INTERVAL 1 HOUR)) AS h)
+    """SELECT h AS timestamp_hour, count(e.ts) AS n_events
+    FROM (SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts), INTERVAL 1 HOUR)) AS h FROM events)
     LEFT JOIN events e ON date_trunc('hour', e.ts) = h GROUP BY 1""",
 )
 def events_on_hour_axis(spark, sf_dir):
-    axis = hour_axis(use_utc(spark), "2023-12-31 00:00:00", "2024-01-30 23:59:59")
-    per_hour = (
-        read(spark, sf_dir, "events")
-        .groupBy(F.date_trunc("hour", "ts").alias("timestamp_hour"))
-        .agg(F.count("ts").alias("n"))
-    )
+    events = read(spark, sf_dir, "events")
+    seen = events.agg(F.struct(F.min("ts").alias("low"), F.max("ts").alias("high")).alias("seen")).scalar()
+    axis = hour_axis(spark, F.date_trunc("hour", seen.getField("low")), seen.getField("high"))
+    per_hour = events.groupBy(F.date_trunc("hour", "ts").alias("timestamp_hour")).agg(F.count("ts").alias("n"))
     joined = axis.join(per_hour, "timestamp_hour", "left")
     return out(joined.select("timestamp_hour", F.coalesce("n", F.lit(0)).alias("n_events")))

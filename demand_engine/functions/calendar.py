@@ -83,8 +83,9 @@ def day_of(ts: Column | str) -> Column:
 
 
 def hour_axis(spark: SparkSession, start, end, step: str = "hour", name: str = "timestamp_hour") -> DataFrame:
-    """All steps from start to end, both ends included."""
-    span = F.sequence(timestamp_literal(start), timestamp_literal(end), step_interval(step))
+    """All steps from start to end, both ends included; either may be a column, as of a scalar subquery."""
+    low, high = (v if isinstance(v, Column) else timestamp_literal(v) for v in (start, end))
+    span = F.sequence(low, high, step_interval(step))
     return spark.range(1).select(F.explode(span).alias(name))
 
 

@@ -11,16 +11,13 @@ from demand_engine.functions.calendar import timestamp_literal
 from demand_engine.operators.ordering import exact_quantiles
 from demand_engine.sources.tables import require
 
-MAX_POINTS = 3000
-
-
-def window_bounds(end_date: str, n: int, cap: int = MAX_POINTS) -> tuple[datetime, datetime]:
+def window_bounds(end_date: str, n: int) -> tuple[datetime, datetime]:
     """First and last moment of an n-point hourly window that ends with ``end_date``.
 
     The start is cut to its day, so the window holds up to 47 hours more than n.
     """
     day = datetime.strptime(end_date, "%Y-%m-%d")
-    first = day - timedelta(hours=min(n, cap) - 1)
+    first = day - timedelta(hours=n - 1)
     return first.replace(hour=0, minute=0, second=0), day.replace(hour=23, minute=59, second=59)
 
 

@@ -52,6 +52,13 @@ def observed_range(df: DataFrame, time: str = "timestamp_hour") -> DataFrame:
     return df.agg(F.min(time).alias("min_time"), F.max(time).alias("max_time"))
 
 
+def observed_bounds(counts: DataFrame, time: str, target: str) -> tuple[Column, Column]:
+    """First and last counted step as scalars of one one-row aggregate. It also reads the counts, so that
+    it needs the same columns as their other reader and both share one exchange."""
+    row = counts.agg(F.struct(F.min(time).alias("low"), F.max(time).alias("high"), F.sum(target).alias("n")).alias("seen")).scalar()
+    return row.getField("low"), row.getField("high")
+
+
 def spread_by(df: DataFrame, id: str) -> DataFrame:
     """Partitioned by series over all cores, whatever the size: for rows that are few themselves but
     unfold to many, which adaptive execution would otherwise put into a few tasks."""
@@ -103,24 +110,48 @@ def fill_gaps(
     id: str = "pickup_community_area",
     target: str = "trip_count",
     step: str = "hour",
+    chunk: int | None = None,
 ) -> DataFrame:
     """Grid and counts in one step: every counted row also unfolds the empty steps up to the next
     counted row of its series (the first one those since ``start``, the last one those up to ``end``).
 
     Equal to ``fill_counts(full_grid(...), counts)``, but only counted cells are shuffled; the zeros
-    appear where they are needed. A series holds at most one row per step of the axis. The result stays
-    partitioned by series, which the window features reuse.
+    appear where they are needed. Counts outside the axis are left out. A series holds at most one row per
+    step of the axis; with ``chunk`` it is cut into pieces of that many steps, so a few long series use all
+    cores. Without, the result stays partitioned by series, which the window features reuse.
     """
-    series = Window.partitionBy(id).orderBy(time)
     one = step_interval(step)
-    first = F.when(F.lag(time).over(series).isNull(), F.date_trunc(step, start)).otherwise(F.col(time))
-    last = F.coalesce(F.lead(time).over(series) - one, F.date_trunc(step, end))
-    spans = spread_by(counts, id).select(time, id, target, first.alias("_first"), last.alias("_last"))
+    low, high = F.date_trunc(step, start), F.date_trunc(step, end)
+    inside = counts.where((F.col(time) >= low) & (F.col(time) <= high))
+    if chunk is None:
+        spread, series, piece_low, piece_high = spread_by(inside, id), Window.partitionBy(id), low, high
+    else:
+        spread, piece_low, piece_high = _pieces(inside, low, high, chunk, time, id, target, step)
+        series = Window.partitionBy(id, "_piece")
+    series = series.orderBy(time)
+    first = F.when(F.lag(time).over(series).isNull(), piece_low).otherwise(F.col(time))
+    last = F.coalesce(F.lead(time).over(series) - one, piece_high)
+    spans = spread.select(time, id, target, first.alias("_first"), last.alias("_last"))
     steps = spans.withColumn("_step", F.explode(F.sequence("_first", "_last", one)))
     value = F.when(F.col("_step") == F.col(time), F.col(target)).otherwise(F.lit(0).cast("bigint"))
     return steps.select(F.col("_step").alias(time), F.col(id), value.alias(target))
 
 
+def _pieces(counts: DataFrame, low: Column, high: Column, chunk: int, time: str, id: str, target: str, step: str):
+    """The counts and, at the start of every piece of the axis, a 0 for every series; with the bounds of a
+    row's piece."""
+    span, one = step_interval(step, chunk), step_interval(step)
+    starts = distinct_ids(counts, id).select(F.explode(F.sequence(low, high, span)).alias(time), F.col(id))
+    # Steps of a fixed length from the first one on: the piece of a time.
+    seconds = F.unix_timestamp(low + span) - F.unix_timestamp(low)
+    piece = F.floor((F.unix_timestamp(time) - F.unix_timestamp(low)) / seconds).alias("_piece")
+    both = counts.select(time, id, target).unionByName(starts.withColumn(target, F.lit(0).cast("bigint")))
+    summed = both.groupBy(time, id).agg(F.sum(target).alias(target)).select("*", piece)
+    begins = F.timestamp_seconds(F.unix_timestamp(low) + F.col("_piece") * seconds)
+    spread = summed.repartition(F.col(id), F.col("_piece"))
+    return spread, begins, F.least(begins + span - one, high)
+
+
 def demand_table(
     df: DataFrame,
     start,
@@ -143,8 +174,7 @@ def demand_table(
     if bounds == "window":
         low, high = timestamp_literal(start), timestamp_literal(end)
     elif bounds == "observed":
-        low = counts.select(F.min(out_time)).scalar()
-        high = counts.select(F.max(out_time)).scalar()
+        low, high = observed_bounds(counts, out_time, target)
     else:
         raise ValueError("bounds must be 'window' or 'observed'")
     return calendar_parts(fill_gaps(counts, low, high, out_time, id, target, step), out_time)
@@ -185,5 +215,7 @@ def future_grid(
     """All known ids times ``horizon`` steps from ``start`` on."""
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
+    if distinct_ids(df, id).isEmpty():
+        raise ValueError("no series id is known: there is nothing to forecast")
     first = timestamp_literal(start)
     return grid(df, first, first + step_interval(step, horizon - 1), id, step, out_time)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,17 +29,22 @@ PARTS = {
 
 
 def agg_by(
-    df: DataFrame, keys: list[str], col: str, fn: str = "mean", top_n: int | None = None, name: str | None = None
+    df: DataFrame, keys: list[str], col: str, fn: str | list[str] = "mean", top_n: int | None = None, name: str | None = None
 ) -> DataFrame:
-    """One named aggregate per key; with ``top_n`` only the largest, ties to the smaller key."""
-    name = name or col
-    if fn == "median":
-        out = median_by(df, keys, col, name)
-    elif fn in AGGREGATES:
-        out = df.dropna(subset=keys).groupBy(*keys).agg(AGGREGATES[fn](col).alias(name))
-    else:
-        raise ValueError(f"unknown aggregate {fn!r}, one of {sorted([*AGGREGATES, 'median'])}")
-    return out if top_n is None else out.orderBy(F.desc(name), *keys).limit(top_n)
+    """Aggregates per key: one under ``name``, or a list of them, each under its own name, from one pass
+    (a median takes its own). With ``top_n`` only the largest of the first, ties to the smaller key."""
+    fns = [fn] if isinstance(fn, str) else list(fn)
+    names = [name or col] if isinstance(fn, str) else fns
+    if unknown := sorted({*fns} - {*AGGREGATES, "median"}):
+        raise ValueError(f"unknown aggregate {unknown}, one of {sorted([*AGGREGATES, 'median'])}")
+    plain = [AGGREGATES[f](col).alias(n) for f, n in zip(fns, names) if f != "median"]
+    out = df.dropna(subset=keys).groupBy(*keys).agg(*plain) if plain else None
+    for f, n in zip(fns, names):
+        if f == "median":
+            made = median_by(df, keys, col, n)
+            out = made if out is None else out.join(made, keys, "left")
+    out = out.select(*keys, *names)
+    return out if top_n is None else out.orderBy(F.desc(names[0]), *keys).limit(top_n)
 
 
 def median_by(df: DataFrame, keys: list[str], col: str, name: str = "median") -> DataFrame:
@@ -124,16 +129,20 @@ def normalize_dow(df: DataFrame, col: str, dow_base: str = "auto") -> DataFrame:
     """Weekday numbers as Monday 0 .. Sunday 6.
 
     ``dow_base`` is ``sun1``, ``mon0`` or ``auto`` (1..7 is taken as ``sun1``). Values outside 0..6
-    afterwards raise: no chart can be made from them.
+    afterwards raise when the rows are read: no chart can be made from them.
     """
     if dow_base not in ("auto", "sun1", "mon0"):
         raise ValueError("dow_base must be 'auto', 'sun1' or 'mon0'")
-    low, high = df.agg(F.min(col), F.max(col)).first()
-    sunday_first = dow_base == "sun1" or (dow_base == "auto" and (low, high) == (1, 7))
-    lowest, highest = (1, 7) if sunday_first else (0, 6)
-    if low is not None and (low < lowest or high > highest):
-        raise ValueError(f"weekday values {low}..{high} in {col!r} are outside {lowest}..{highest}")
-    return df.withColumn(col, sun1_to_mon0(col)) if sunday_first else df
+    if dow_base == "auto":
+        seen = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high")).alias("seen")).scalar()
+        sunday_first = (seen.getField("low") == 1) & (seen.getField("high") == 7)
+    else:
+        sunday_first = F.lit(dow_base == "sun1")
+    lowest, highest = F.when(sunday_first, 1).otherwise(0), F.when(sunday_first, 7).otherwise(6)
+    kind = df.schema[col].dataType
+    bad = F.raise_error(F.concat(F.lit(f"weekday value in {col!r} out of range: "), F.col(col).cast("string"))).cast(kind)
+    shifted = F.when(sunday_first, sun1_to_mon0(col)).otherwise(F.col(col)).cast(kind)
+    return df.withColumn(col, F.when((F.col(col) < lowest) | (F.col(col) > highest), bad).otherwise(shifted))
 
 
 def heatmap(df: DataFrame, day: str, hour: str, value: str, fn: str = "mean") -> DataFrame:
@@ -196,7 +205,7 @@ def describe_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
         ]
     )
     quartiles = exact_quantiles(
-        _unpivot(df, cols, "double"), ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+        _unpivot(df, cols, "double"), ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, bounded_keys=True
     )
     return (
         df.agg(*moments)
@@ -257,15 +266,11 @@ def unique_values(df: DataFrame, id: str = "pickup_community_area", col: str = "
 
 
 def unique_value_lists(
-    df: DataFrame, id: str = "pickup_community_area", col: str = "prediction", at_most: int = 10_000
+    df: DataFrame, id: str = "pickup_community_area", col: str = "prediction"
 ) -> DataFrame:
     """The same as one sorted array per series, for forecasts: their series hold at most one row per
-    step of the horizon. A series with more than ``at_most`` values raises (that runs a count)."""
-    values = unique_values(df, id, col)
-    sizes = values.groupBy(id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > at_most)
-    if not sizes.isEmpty():
-        raise ValueError(f"a series has more than {at_most} values: use unique_values instead")
-    return values.groupBy(id).agg(F.array_sort(F.collect_list(col)).alias("values"))
+    step of the horizon."""
+    return unique_values(df, id, col).groupBy(id).agg(F.array_sort(F.collect_list(col)).alias("values"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
@@ -320,15 +325,18 @@ def quality_report(df: DataFrame) -> DataFrame:
         F.inline(F.array(*[F.struct(F.lit(s).alias("slice"), F.col(s).alias("n")) for s in QUALITY_SLICES]))
     )
     measures = _unpivot(rows, QUALITY_MEASURES, "double", ["slice"], "measure")
-    medians = exact_quantiles(measures, ["slice", "measure"], "value", {"median": 0.5})
+    medians = exact_quantiles(measures, ["slice", "measure"], "value", {"median": 0.5}, bounded_keys=True)
     wide = medians.groupBy("slice").pivot("measure", QUALITY_MEASURES).agg(F.first("median"))
     named = wide.toDF("slice", *[f"med_{m}" for m in QUALITY_MEASURES])
     return counts.join(named, "slice", "left")
 
 
-def quality_top(df: DataFrame, slice: str, k: int = 5, col: str = "payment_type") -> DataFrame:
-    """The most frequent values inside one slice."""
-    return top_counts(df.where(F.expr(QUALITY_SLICES[slice])), col, k)
+def quality_top(df: DataFrame, k: int = 5, col: str = "payment_type") -> DataFrame:
+    """Per slice the most frequent values (``slice, col, n``), ties to the smaller one; one pass."""
+    measures = ["trip_minutes", "trip_miles", "fare"]
+    counts = _by_slice(df.select(*measures, col)).where(F.col(col).isNotNull()).groupBy("slice", col).agg(F.count(F.lit(1)).alias("n"))
+    ranked = Window.partitionBy("slice").orderBy(F.desc("n"), col)
+    return counts.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= k).drop("_rank")
 
 
 def pct_where(df: DataFrame, condition: Column, given: Column, name: str = "pct") -> DataFrame:

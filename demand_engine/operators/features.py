@@ -21,14 +21,6 @@ def add_cyclic(df: DataFrame, time: str = "timestamp_hour") -> DataFrame:
     return df.withColumns({"hour_sin": hour_sin, "hour_cos": hour_cos, "dow_sin": dow_sin, "dow_cos": dow_cos})
 
 
-def known_ids(df: DataFrame, id: str = "pickup_community_area", at_most: int = 1000) -> list:
-    """The ids as a sorted list, for column names; more than ``at_most`` raise."""
-    rows = distinct_ids(df, id).limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} ids: use the vector encoding of the model instead")
-    return sorted(r[0] for r in rows)
-
-
 def one_hot(
     df: DataFrame, ids: list, id: str = "pickup_community_area", prefix: str = "area_"
 ) -> DataFrame:

@@ -34,6 +34,19 @@ def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> Da
         raise ValueError(f"the rules hold from {RULES_HOLD_FROM} on")
     # one year more, because its New Year's Day may be observed on the last day before it
     years = spark.range(first_year, last_year + 2).select(F.col("id").cast("int").alias("y"))
+    return _holidays(years).where(F.year("holiday_date").between(first_year, last_year))
+
+
+def holidays_of(df: DataFrame, time: str = "timestamp_hour") -> DataFrame:
+    """The same for the years from the first to the last time of the rows, read when the plan runs. Rows
+    before the rules hold raise then."""
+    seen = df.agg(F.min(F.year(time)).alias("first"), F.max(F.year(time)).alias("last"))
+    early = F.raise_error(F.lit(f"the rules hold from {RULES_HOLD_FROM} on")).cast("int")
+    first = F.when(F.col("first") < RULES_HOLD_FROM, early).otherwise(F.col("first"))
+    return _holidays(seen.where("first is not null").select(F.explode(F.sequence(first, F.col("last") + 1)).alias("y")))
+
+
+def _holidays(years: DataFrame) -> DataFrame:
     fixed = [
         F.when(F.col("y") >= since, F.struct(F.make_date("y", F.lit(m), F.lit(d)).alias("d"), F.lit(name).alias("holiday"), F.lit(True).alias("fixed")))
         for name, m, d, since in FIXED_DATES
@@ -51,15 +64,15 @@ def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> Da
     named = years.select(F.inline(F.filter(F.array(*fixed, *floating), lambda r: r.isNotNull())))
     shift = F.when(F.col("fixed") & (F.weekday("d") == 5), -1).when(F.col("fixed") & (F.weekday("d") == 6), 1)
     both = F.filter(F.array(F.col("d"), F.date_add("d", shift)), lambda d: d.isNotNull())
-    days = named.select(F.explode(both).alias("holiday_date"), "holiday")
-    return days.where(F.year("holiday_date").between(first_year, last_year))
+    return named.select(F.explode(both).alias("holiday_date"), "holiday")
 
 
 def add_holidays(
-    df: DataFrame, calendar: DataFrame, time: str = "timestamp_hour", name: str = "is_holiday"
+    df: DataFrame, calendar: DataFrame | None = None, time: str = "timestamp_hour", name: str = "is_holiday"
 ) -> DataFrame:
-    """Flags the rows whose date is in the calendar. The calendar is bounded by its years, so it is
-    broadcast."""
+    """Flags the rows whose date is in the calendar, by default that of the rows' own years. The calendar
+    is bounded by its years, so it is broadcast."""
+    calendar = holidays_of(df, time) if calendar is None else calendar
     dates = calendar.select(F.col("holiday_date").alias("_date")).distinct()
     joined = df.withColumn("_day", F.to_date(time)).join(
         F.broadcast(dates), F.col("_day") == F.col("_date"), "left"

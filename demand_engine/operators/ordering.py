@@ -9,68 +9,97 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demand_engine.session import cut_lineage
-
 
 def _present(value: Column, dtype: str) -> Column:
     present = value.isNotNull()
     return present & ~F.isnan(value) if dtype in ("double", "float") else present
 
 
+def _number(value: Column, dtype: str) -> Column:
+    """A double that never falls where the value rises; equal for values that differ little."""
+    if dtype in ("timestamp", "timestamp_ntz", "date"):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if dtype == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return value.cast("double")
+
+
+def _bucket(x: Column, bits: int) -> Column:
+    """The bucket of a double: its sign, power of two and leading ``bits`` binary digits as one number that
+    rises with x. It depends on the value alone, so every reader makes the same cut. An exponent that is off
+    by one, from rounding in the logarithm, gives the same number."""
+    size = F.least(F.abs(x), F.lit(1.7976931348623157e308))
+    power = F.least(F.floor(F.log2(size)), F.lit(1023))
+    width = 1 << bits
+    place = (power + 1100) * width + F.floor(size / F.pow(F.lit(2.0), power) * width).cast("bigint") - width
+    return F.when(x == 0, F.lit(0).cast("bigint")).when(x > 0, place).otherwise(-place)
+
+
 def values_at(
-    df: DataFrame, keys: list[str], value: str, weight: str, ranks: dict[str, Callable[[Column], Column]]
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    ranks: dict[str, Callable[[Column], Column]],
+    bounded_keys: bool = False,
 ) -> DataFrame:
     """Per key, the values at given ranks: ``total`` and one column per entry of ``ranks``.
 
-    Rows are sorted by value within their key and stand for ``weight`` equal values each. A rank
-    counts from 0 and is given as a function of the key's total weight; behind the end it gives null.
+    Rows are ranked by value within their key. A rank counts from 0 and is given as a function of the key's
+    number of rows; behind the end it gives null.
 
-    The rows are range-partitioned on (key, value), so a key holding any share of the data is cut into
-    as many pieces as it needs. Only one sum per (piece, key) is added up across pieces, and only the
-    pieces that hold a rank are sorted. The pieces are written out first, because both readers have to
-    see the same cut.
+    Nothing is sorted but the neighbourhood of the ranks. Rows are counted map-side in coarse buckets of their
+    value, those in a bucket with a rank in fine buckets, and only the rows of a fine bucket with a rank are
+    shuffled and ranked. One lazy plan, no intermediate table; a hot key is spread over its buckets. Without
+    keys, or with ``bounded_keys`` (a few, whatever the data), the hit buckets are broadcast: two a rank and key.
     """
-    pieces = cut_lineage(df.repartitionByRange(*keys, value).withColumn("_piece", F.spark_partition_id()))
-    sums = pieces.groupBy("_piece", *keys).agg(F.sum(weight).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        "_piece",
-        *keys,
-        "_sum",
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
-        F.sum("_sum").over(Window.partitionBy(*keys)).alias("total"),
-    )
+    x = _number(F.col(value), dict(df.dtypes)[value])
+    rows = df.select(*keys, value, _bucket(x, 8).alias("_coarse"), _bucket(x, 24).alias("_fine"))
+    small = F.broadcast if bounded_keys or not keys else lambda hits: hits
 
     def holds(rank: Column, first: str, n: str) -> Column:
         return (rank >= F.col(first)) & (rank < F.col(first) + F.col(n))
 
-    wanted = {name: rank(F.col("total")) for name, rank in ranks.items()}
-    hit = reduce(or_, [holds(rank, "_start", "_sum") for rank in wanted.values()])
-    inside = Window.partitionBy("_piece", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = pieces.join(starts.where(hit), ["_piece", *keys]).withColumn(
-        "_before", F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
+    def wanted() -> dict[str, Column]:
+        return {name: rank(F.col("total")) for name, rank in ranks.items()}
+
+    def hit(n: str) -> Column:
+        return reduce(or_, [holds(rank, "_start", n) for rank in wanted().values()])
+
+    def before(by: list[str], order: str, n: str) -> Column:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+    coarse = rows.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
+    coarse = coarse.withColumn("_start", before(keys, "_coarse", "_n")).withColumn(
+        "total", F.sum("_n").over(Window.partitionBy(*keys))
+    )
+    near = rows.join(small(coarse.where(hit("_n")).drop("_n")), [*keys, "_coarse"])
+    fine = near.groupBy(*keys, "_coarse", "_fine", "_start", "total").agg(F.count(F.lit(1)).alias("_n"))
+    fine = fine.withColumn("_start", F.col("_start") + before([*keys, "_coarse"], "_fine", "_n"))
+    hits = fine.where(hit("_n")).drop("_n", "_coarse")
+    counted = (
+        rows.drop("_coarse")
+        .join(small(hits), [*keys, "_fine"])
+        .groupBy(*keys, "_fine", "_start", "total", value)
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    found = [
-        F.max(F.when(holds(rank, "_before", weight), F.col(value))).alias(name) for name, rank in wanted.items()
-    ]
+    ranked = counted.withColumn("_before", F.col("_start") + before([*keys, "_fine"], value, "_n"))
+    found = [F.max(F.when(holds(rank, "_before", "_n"), F.col(value))).alias(name) for name, rank in wanted().items()]
     return ranked.groupBy(*keys).agg(F.max("total").alias("total"), *found)
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bounded_keys: bool = False
+) -> DataFrame:
     """Exact, linearly interpolated quantiles per key, one column per entry of ``probs``.
 
-    Equal values are counted together first; nulls and rows with a null key are left out, so a key
-    without values has no row.
+    Nulls and rows with a null key are left out, so a key without values has no row.
     """
     dtype = dict(df.dtypes)[value]
     keep = _present(F.col(value), dtype)
     for key in keys:
         keep = keep & F.col(key).isNotNull()
-    counts = (
-        df.where(keep)
-        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    values = df.where(keep).select(*keys, F.col(value).cast("double").alias("_value"))
 
     def at(p: float, total: Column) -> Column:
         return F.lit(float(p)) * (total - 1)
@@ -79,7 +108,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     for name, p in probs.items():
         ranks[f"_lo_{name}"] = lambda total, p=p: F.floor(at(p, total))
         ranks[f"_hi_{name}"] = lambda total, p=p: F.ceil(at(p, total))
-    found = values_at(counts, keys, "_value", "_n", ranks)
+    found = values_at(values, keys, "_value", ranks, bounded_keys)
 
     def interpolate(name: str, p: float) -> Column:
         place = at(p, F.col("total"))
@@ -91,8 +120,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 
 def key_at(df: DataFrame, key: str, ranks: dict[str, Callable[[Column], Column]]) -> dict[str, Column]:
     """Scalars: the unique key at each rank of its order, null behind the last row."""
-    found = values_at(df.select(key).withColumn("_one", F.lit(1)), [], key, "_one", ranks)
-    return {name: found.select(name).scalar() for name in ranks}
+    found = values_at(df.select(key).where(F.col(key).isNotNull()), [], key, ranks)
+    row = found.select(F.struct(*ranks).alias("at")).scalar()
+    return {name: row.getField(name) for name in ranks}
 
 
 def sort_table(df: DataFrame, *order: str) -> DataFrame:

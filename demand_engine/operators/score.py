@@ -20,10 +20,9 @@ def align_key_types(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def restrict_to_range(act: DataFrame, pred: DataFrame, time: str = "timestamp") -> DataFrame:
-    """Actuals between the first and last prediction, both read as one-row subqueries."""
-    low = pred.select(F.min(time)).scalar()
-    high = pred.select(F.max(time)).scalar()
-    return act.where(F.col(time).between(low, high))
+    """Actuals between the first and last prediction, read as one one-row subquery."""
+    seen = pred.agg(F.struct(F.min(time).alias("low"), F.max(time).alias("high")).alias("seen")).scalar()
+    return act.where(F.col(time).between(seen.getField("low"), seen.getField("high")))
 
 
 def join_actuals(pred: DataFrame, act: DataFrame, keys: tuple[str, str] = ("timestamp", "series_id")) -> DataFrame:

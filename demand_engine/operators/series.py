@@ -99,13 +99,15 @@ def seasonal_naive(
     time: str = "timestamp_hour",
     target: str = "trip_count",
     name: str = "prediction",
+    chunk: int | None = None,
+    step: str = "hour",
 ) -> DataFrame:
     """The value one season earlier as forecast; null in the first season."""
 
     def columns(series: WindowSpec) -> dict[str, Column]:
         return {name: F.lag(target, season).over(series).cast("double")}
 
-    return with_series_columns(df, columns, id, time, back=season)
+    return with_series_columns(df, columns, id, time, back=season, chunk=chunk, step=step)
 
 
 def context_windows(

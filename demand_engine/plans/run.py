@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from demand_engine.operators.clean import MAX_POINTS
 from demand_engine.operators.features import add_cyclic
 from demand_engine.plans import training
 from demand_engine.plans.forecast import evaluate, future_target_features
@@ -45,7 +44,7 @@ def run_forecasting(spark: SparkSession, source: str, out: str, settings: Settin
     """Runs every step, leaves ``demand``, ``model``, ``predictions`` and ``runs`` below ``out`` and
     returns the accuracy over the forecast steps that have an actual."""
     s = settings
-    demand = prepare_demand(spark, source, f"{out}/demand", s.end_date, min(s.max_points, MAX_POINTS), **columns)
+    demand = prepare_demand(spark, source, f"{out}/demand", s.end_date, s.max_points, **columns)
     rows = training.model_rows(demand, s.horizon)
     with training.kept(rows):
         params = s.params

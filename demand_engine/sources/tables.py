@@ -95,8 +95,17 @@ def write_table(df: DataFrame, path_or_name: str, schema: T.StructType | None =
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The listed columns that exist, in schema order and type."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema if f.name in df.columns])
+    """The listed columns that exist, in schema order and type. A number with a fraction raises where the
+    schema has an integer, when the rows are read."""
+    return df.select(*[_as(df, f).alias(f.name) for f in schema if f.name in df.columns])
+
+
+def _as(df: DataFrame, field: T.StructField):
+    value, have = F.col(field.name), df.schema[field.name].dataType
+    if isinstance(field.dataType, T.IntegralType) and isinstance(have, (T.FloatType, T.DoubleType, T.DecimalType)):
+        broken = F.raise_error(F.concat(F.lit(f"{field.name} holds a fraction: "), value.cast("string")))
+        return F.when(value != F.round(value), broken.cast(field.dataType)).otherwise(value.cast(field.dataType))
+    return value.cast(field.dataType)
 
 
 def narrow_numbers(df: DataFrame) -> DataFrame:

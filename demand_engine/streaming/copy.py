@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
+
+
+class _EnoughBatches(Exception):
+    """Ends a run before the next batch writes anything."""
 
 
 def incremental_copy(
@@ -14,29 +19,38 @@ def incremental_copy(
     max_batches: int | None = None,
 ) -> int:
     """Copies the files of ``src`` (a folder or a path pattern) not copied yet, some per batch, and
-    returns the number of batches run.
+    returns the number of batches written.
 
-    The checkpoint knows what was copied, so a second call copies only what is new and a broken run
-    goes on where it stopped, without losing or repeating rows. ``max_batches`` stops the call once
-    that many batches are done; the batch that is then under way is left to the next call.
+    A batch is a folder of ``dst`` with the batch's number, so a repeated batch replaces itself. The
+    checkpoint knows what was copied: a second call copies only what is new, and a broken run goes on
+    where it stopped, without losing or repeating rows. ``max_batches`` stops the call after exactly that
+    many; the next one is refused before it writes and is the first of the next call.
     """
-    schema = spark.read.parquet(src).schema
+    written: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if max_batches is not None and len(written) >= max_batches:
+            raise _EnoughBatches
+        batch.write.mode("overwrite").parquet(f"{dst}/batch_id={batch_id}")
+        written.append(batch_id)
+
     query = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(spark.read.parquet(src).schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(src)
-        .writeStream.format("parquet")
-        .option("path", dst)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    while max_batches is not None and not query.awaitTermination(1):
-        if _batches(query) >= max_batches:
-            query.stop()
-    query.awaitTermination()
-    return _batches(query)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as error:
+        if _EnoughBatches.__name__ not in str(error):
+            raise
+    return len(written)
 
 
-def _batches(query) -> int:
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+def read_copy(spark: SparkSession, dst: str) -> DataFrame:
+    """The copied rows, without the number of their batch."""
+    return spark.read.parquet(dst).drop("batch_id")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +69,60 @@ def read_running_counts(
     target: str = "trip_count",
 ) -> DataFrame:
     """The newest count per (step, series)."""
-    return spark.read.parquet(path).groupBy(out_time, id).agg(F.max_by(target, "batch_id").alias(target))
+    rows = _read_batches(spark, *_live_batches(spark, path))
+    return rows.groupBy(out_time, id).agg(F.max_by(target, "batch_id").alias(target))
+
+
+def compact_running_counts(
+    spark: SparkSession, path: str, id: str = "pickup_community_area", out_time: str = "timestamp_hour",
+    target: str = "trip_count",
+) -> None:
+    """Puts the newest counts of all batches but the last into one folder, from which later reads start, so
+    a read costs the number of steps and series, not the age of the stream. Call it between runs. The old
+    folders may be deleted afterwards; nothing reads them any more."""
+    compact, batches = _live_batches(spark, path)
+    if len(batches) < 2:
+        return
+    upto = batches[-2][0]
+    rows = _read_batches(spark, compact, batches[:-1])
+    newest = rows.groupBy(out_time, id).agg(F.max_by(target, "batch_id").alias(target))
+    newest.write.mode("overwrite").parquet(f"{path}/{_COMPACT}/batch_id={upto}")
+
+
+_COMPACT = "_compact"
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and path of the finished batch folders below a path, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = []
+    for status in files.listStatus(root):
+        folder = status.getPath()
+        name = folder.getName()
+        if name.startswith("batch_id=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            found.append((int(name.removeprefix("batch_id=")), folder.toString()))
+    return sorted(found)
+
+
+def _live_batches(spark: SparkSession, path: str) -> tuple[list[tuple[int, str]], list[tuple[int, str]]]:
+    """The newest compacted folder, if there is one, and the batches after it."""
+    compact = _folders(spark, f"{path}/{_COMPACT}")[-1:]
+    start = compact[0][0] if compact else -1
+    return compact, [(n, folder) for n, folder in _folders(spark, path) if n > start]
+
+
+def _read_batches(spark: SparkSession, compact: list[tuple[int, str]], batches: list[tuple[int, str]]) -> DataFrame:
+    """The rows of the folders with the number of their batch."""
+    parts = [
+        spark.read.option("basePath", folder.rpartition("/")[0]).parquet(*[f for _, f in found])
+        for found in (compact, batches)
+        if found
+        for _, folder in found[:1]
+    ]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def stream_filled_demand(
@@ -85,22 +137,32 @@ def stream_filled_demand(
 ) -> None:
     """Writes every closed step for all known ids, 0 where nothing happened.
 
-    Each batch covers the steps after the last one written up to its own last closed step, so hours
-    without any event are filled too. A repeated batch finds the same start, because only earlier
-    batches count, and replaces its own folder.
+    Known are the given ids, those of the last written batch and those of the batch itself, so an id that
+    first appears in the stream has rows from then on. Each batch covers the steps after the last one
+    written up to its own last closed step, so hours without any event are filled too. Both are read from
+    the newest earlier folder, whatever the age of the stream. A repeated batch finds the same one, because
+    only earlier batches count, and replaces its own folder.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        first, last = batch.agg(F.min(out_time), F.max(out_time)).first()
-        if last is not None:
-            written = _last_written(spark, path, batch_id, out_time)
-            low = F.lit(first) if written is None else F.lit(written) + step_interval(step)
-            cells = grid(ids, low.cast("timestamp"), F.lit(last).cast("timestamp"), id, step, out_time)
+        try:
+            first, last = batch.agg(F.min(out_time), F.max(out_time)).first()
+            if last is None:
+                return
+            known = ids.select(id).union(batch.select(id))
+            low = F.lit(first)
+            earlier = [folder for n, folder in _folders(spark, path) if n < batch_id]
+            if earlier:
+                newest = spark.read.parquet(earlier[-1])
+                known = known.union(newest.select(id))
+                low = F.lit(newest.agg(F.max(out_time)).first()[0]) + step_interval(step)
+            cells = grid(known, low.cast("timestamp"), F.lit(last).cast("timestamp"), id, step, out_time)
             filled = fill_counts(cells, batch, out_time, id, target)
             filled.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
-        batch.unpersist()
+        finally:
+            batch.unpersist()
 
     (
         counts.writeStream.outputMode("append")
@@ -110,11 +172,3 @@ def stream_filled_demand(
         .start()
         .awaitTermination()
     )
-
-
-def _last_written(spark: SparkSession, path: str, batch_id: int, out_time: str):
-    try:
-        written = spark.read.parquet(path)
-    except AnalysisException:  # nothing written yet
-        return None
-    return written.where(F.col("batch_id") < batch_id).agg(F.max(out_time)).first()[0]

@@ -71,3 +71,10 @@ def test_holiday_join_keeps_rows(spark, rows):
     assert sorted(r.is_holiday for r in made.collect()) == [0, 0, 1]
     with pytest.raises(ValueError):
         federal_holidays(spark, 1950, 1960)
+
+
+def test_holidays_of_the_rows_own_years(spark, rows):
+    df = rows([("1999-07-05",), ("2022-06-20",), ("2022-06-21",)], "ts timestamp")
+    assert [r.is_holiday for r in add_holidays(df, time="ts").orderBy("ts").collect()] == [1, 1, 0]
+    with pytest.raises(Exception, match="rules hold"):
+        add_holidays(rows([("1950-01-01",)], "ts timestamp"), time="ts").collect()

@@ -47,6 +47,29 @@ def test_gap_filling_equals_grid_join(rows):
     assert filled.count() == 72 * 2
 
 
+@pytest.mark.parametrize("chunk", [None, 5, 24, 1000])
+def test_gap_filling_leaves_out_what_is_outside(rows, chunk):
+    data = [("2020-01-01 00:00:00", 1, 9), ("2022-12-31 23:00:00", 1, 5), ("2023-01-01 02:00:00", 1, 3), ("2023-01-02 04:00:00", 1, 7), ("2023-01-01 00:00:00", 2, 1), ("2030-01-01 00:00:00", 2, 8)]
+    counts = rows(data, "timestamp_hour timestamp, pickup_community_area int, trip_count bigint")
+    low, high = F.lit("2023-01-01").cast("timestamp"), F.lit("2023-01-01 23:59:59").cast("timestamp")
+    got = {(r.timestamp_hour.hour, r.pickup_community_area): r.trip_count for r in ops.fill_gaps(counts, low, high, chunk=chunk).collect()}
+    assert got == {(h, a): {(2, 1): 3, (0, 2): 1}.get((h, a), 0) for h in range(24) for a in (1, 2)}
+
+
+def scans(df, table):
+    """How often the final plan reads the table."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("FileScan" in line and table in line for line in plan.split("+- == Initial Plan ==")[0].splitlines())
+
+
+@pytest.mark.parametrize("query, table", [("demand_table_observed", "events"), ("daily_shipments_per_supplier", "lineitem"), ("accuracy", "events"), ("quality_top", "events")])
+def test_raw_table_is_read_once(spark, query, table):
+    from demand_engine.catalog import QUERIES
+
+    assert scans(QUERIES[query](spark, "/root/testdata/sf0.001"), f"{table}.parquet") <= 1
+
+
 def test_hot_series_moves_one_row_per_hour_and_task(spark):
     """A third of the rows in one series: what is shuffled is bounded by hours, not by rows."""
     n = 30_000
@@ -69,6 +92,8 @@ def test_future_grid(rows):
     assert ops.duplicate_keys(grid, ["timestamp_hour", "pickup_community_area"]).isEmpty()
     with pytest.raises(ValueError):
         ops.future_grid(ids, "2024-01-01", 0)
+    with pytest.raises(ValueError, match="no series id"):
+        ops.future_grid(ids.where("pickup_community_area is null"), "2024-01-01", 2)
 
 
 def test_lookup_counts(rows):

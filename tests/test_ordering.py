@@ -29,19 +29,34 @@ def test_quantiles_without_key_ignore_nan(spark):
     assert tuple(ordering.exact_quantiles(df, [], "v", {"a": 0.5, "b": 0.255}).first()) == pytest.approx((50.0, 25.5))
 
 
-def test_hot_key_is_cut_into_pieces(spark):
-    """A key with all the rows is ranked by many tasks, none of which holds more than a few shares."""
-    df = spark.range(80_000).select(F.lit("hot").alias("k"), F.xxhash64("id").cast("double").alias("v"), F.lit(1).alias("n"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        pieces = df.repartitionByRange("k", "v").groupBy(F.spark_partition_id()).count().collect()
-        ranks = {"first": lambda t: F.lit(0), "mid": lambda t: F.floor(t / 2), "last": lambda t: t - 1, "none": lambda t: t}
-        found = ordering.values_at(df, ["k"], "v", "n", ranks).first()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def test_ranks_sort_their_neighbourhood_only(spark):
+    """A key with all the rows: no job and no file while the plan is made, and the last window sees few rows."""
+    df = spark.range(80_000).select(F.lit("hot").alias("k"), F.xxhash64("id").cast("double").alias("v"))
+    ranks = {"first": lambda t: F.lit(0), "mid": lambda t: F.floor(t / 2), "last": lambda t: t - 1, "none": lambda t: t}
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    made = ordering.values_at(df, ["k"], "v", ranks)
+    assert len(tracker.getJobIdsForGroup(None)) == before
     values = sorted(r.v for r in df.select("v").collect())
-    assert tuple(found) == ("hot", 80_000, values[0], values[40_000], values[-1], None)
-    assert len(pieces) == 8 and max(p["count"] for p in pieces) < 2 * 80_000 / 8
+    assert tuple(made.first()) == ("hot", 80_000, values[0], values[40_000], values[-1], None)
+    fine = df.groupBy(ordering._bucket(F.col("v"), 24)).count().agg(F.max("count")).first()[0]
+    assert fine < 100
+
+
+def test_buckets_rise_with_the_value(spark):
+    values = sorted([0.0, -0.0, 5e-324, -5e-324, 1e-300, 0.1, 0.3, 1, 2, 3, 7.999999999999999, 8, 1e15, 1e15 + 1, 1.7e308, float("inf"), float("-inf"), -1e15, -2, -1.9999999999999998, *[2.0**k for k in range(-1074, 1024, 7)], *[-(2.0**k) * (1 - 2**-53) for k in range(-1000, 1024, 7)]])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for bits in (8, 24):
+        got = [r.b for r in df.select(ordering._bucket(F.col("v"), bits).alias("b")).collect()]
+        assert got == sorted(got)
+
+
+def test_pages_of_other_kinds_of_keys(spark):
+    texts = sorted({f"{a}{b}é{a * 3}" for a in "abÄz" for b in range(30)}, key=lambda t: t.encode())
+    df = spark.createDataFrame([(t,) for t in texts[::-1]], "k string")
+    assert sorted((r.k for r in ordering.page(df, "k", 7, 5).collect()), key=lambda t: t.encode()) == texts[7:12]
+    times = spark.range(500).select(F.timestamp_micros(F.col("id") * 7 + 1_700_000_000_000_000).alias("t"))
+    assert [r.t for r in ordering.page(times, "t", 100, 3).orderBy("t").collect()] == [r.t for r in times.orderBy("t").collect()][100:103]
 
 
 @pytest.mark.parametrize("offset, n", [(0, 10), (95, 10), (100, 5), (40, 20)])

@@ -111,6 +111,3 @@ def test_horizon_lags():
 def test_one_hot_and_ids(rows):
     df = rows([(1,), (2,), (None,)], f"{ID} int")
     assert [tuple(r)[1:] for r in feats.one_hot(df, [1, 2]).collect()] == [(1, 0), (0, 1), (0, 0)]
-    assert feats.known_ids(df) == [1, 2]
-    with pytest.raises(ValueError):
-        feats.known_ids(df, at_most=1)

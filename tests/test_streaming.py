@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from demand_engine.operators.demand import hourly_demand
 from demand_engine.streaming import hourly
-from demand_engine.streaming.copy import incremental_copy
+from demand_engine.streaming.copy import incremental_copy, read_copy
 
 SCHEMA = "trip_start_timestamp timestamp, pickup_community_area int"
 
@@ -76,13 +76,52 @@ def test_copy_goes_on_where_it_stopped(spark, tmp_path):
     src, dst, ckpt = (str(tmp_path / n) for n in ("src", "dst", "ckpt"))
     for part in range(6):
         spark.range(part * 10, part * 10 + 10, 1, 1).write.mode("append").parquet(src)
-    incremental_copy(spark, src, dst, ckpt, files_per_batch=1, max_batches=2)
-    assert spark.read.parquet(dst).count() >= 20
+    assert incremental_copy(spark, src, dst, ckpt, files_per_batch=1, max_batches=2) == 2
+    assert read_copy(spark, dst).count() == 20
+    assert incremental_copy(spark, src, dst, ckpt, files_per_batch=1, max_batches=1) == 1
+    assert read_copy(spark, dst).count() == 30
     incremental_copy(spark, src, dst, ckpt, files_per_batch=2)
     spark.range(60, 70, 1, 1).write.mode("append").parquet(src)
     assert incremental_copy(spark, src, dst, ckpt) == 1
     assert incremental_copy(spark, src, dst, ckpt) == 0
-    assert sorted(r.id for r in spark.read.parquet(dst).collect()) == list(range(70))
+    assert sorted(r.id for r in read_copy(spark, dst).collect()) == list(range(70))
+
+
+def test_copy_counts_every_batch(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.range(0, 260, 1, 130).write.parquet(src)
+    assert incremental_copy(spark, src, str(tmp_path / "a"), str(tmp_path / "ca"), 1, max_batches=120) == 120
+    assert incremental_copy(spark, src, str(tmp_path / "a"), str(tmp_path / "ca"), 1) == 10
+    assert read_copy(spark, str(tmp_path / "a")).distinct().count() == read_copy(spark, str(tmp_path / "a")).count() == 260
+
+
+def test_running_counts_are_compacted(spark, land, tmp_path):
+    folder, out, ckpt = land(("00:10:00", 1), ("01:10:00", 2)), str(tmp_path / "o"), str(tmp_path / "c")
+
+    def run():
+        hourly.write_running_counts(hourly.stream_hourly_demand(read_stream(spark, folder)), out, ckpt)
+        return table(hourly.read_running_counts(spark, out))
+
+    for k in range(3):
+        land((f"01:{20 + k}:00", 2), ("02:00:00", k))
+    before = run()
+    hourly.compact_running_counts(spark, out)
+    compact, batches = hourly._live_batches(spark, out)
+    assert len(compact) == len(batches) == 1
+    assert table(hourly.read_running_counts(spark, out)) == before
+    land(("01:50:00", 2))
+    assert run() == {**before, (1, 2): before[1, 2] + 1}
+
+
+def test_an_id_first_seen_in_the_stream_is_kept(spark, land, tmp_path):
+    folder, out, ckpt = land(("00:10:00", 1)), str(tmp_path / "o"), str(tmp_path / "c")
+    land(("01:10:00", 9), ("05:00:00", 1))
+    land(("09:00:00", 1))
+    ids = spark.createDataFrame([(1,), (2,)], "pickup_community_area int")
+    hourly.stream_filled_demand(hourly.stream_hourly_demand(read_stream(spark, folder)), ids, out, ckpt)
+    got = table(spark.read.parquet(out))
+    assert got[1, 9] == 1 and got[5, 9] == 0 and got[0, 1] == 1 and got[5, 1] == 1
+    assert sum(got.values()) == 3
 
 
 def test_watermark_needs_no_zoned_input(spark, land):

@@ -62,3 +62,14 @@ def test_append_missing_twice(spark):
     src = spark.range(10)
     once = tables.append_missing(src, spark.range(4), ["id"])
     assert sorted(r.id for r in tables.append_missing(src, once, ["id"]).collect()) == list(range(10))
+
+
+def test_schema_refuses_fractions(rows):
+    from pyspark.sql import types as T
+
+    from demand_engine.sources.tables import enforce_schema
+
+    whole = T.StructType([T.StructField("n", T.LongType())])
+    assert [r.n for r in enforce_schema(rows([(2.0,), (None,)], "n double"), whole).collect()] == [2, None]
+    with pytest.raises(Exception, match="fraction"):
+        enforce_schema(rows([(2.7,)], "n double"), whole).collect()
