@@ -1,33 +1,43 @@
-"""Registered queries that fit a model. Small models: the point is the job, not the fit.
+"""Registered queries that fit a model; every query fits its own.
 
-A fit has no SQL form, so what the oracles state is what any fit must give: one forecast per key of
-the horizon, none below zero.
-"""
+A fit has no SQL form. The oracles state what SQL knows about its result: the keys, the seasonal naive error that
+the forecast has to stay under, the range of the target, the names of the features, the ranges of the search.
 
-from functools import lru_cache
+TREES bounds the number of trees here, as a fit of the library's defaults (100 trees; 50 to 500 in a search)
+takes minutes on one machine; ranges of the other parameters are the library's.
+"""
 
 from pyspark.sql import functions as F
 
 from demand_engine.catalog.common import (
-    COUNTS,
     DEMAND,
+    END_DATE,
+    FORECAST_END,
     FORECAST_START,
     HORIZON,
+    MAX_POINTS,
+    NAIVE,
     TRAIN_END,
     VAL_END,
     demand,
+    naive_forecast,
     out,
+    r6,
     register,
+    trips,
 )
 from demand_engine.fixtures import read
+from demand_engine.operators.clean import filter_window
 from demand_engine.operators.features import add_cyclic
 from demand_engine.operators.score import rmse
-from demand_engine.operators.series import split_by_date
+from demand_engine.operators.series import ROLLING_WINDOWS, split_by_date
 from demand_engine.plans import training
 from demand_engine.plans.forecast import evaluate, future_target_features
-from demand_engine.session import shared_folder
+from demand_engine.plans.run import Settings, run_forecasting
+from demand_engine.session import shared_folder, use_utc
 
-SMALL = {"n_estimators": 5, "max_depth": 4}
+TREES = 20
+SEARCH_TREES = (5, 15, "linear")
 _TIME, _ID = "timestamp_hour", "pickup_community_area"
 
 
@@ -35,14 +45,8 @@ def _rows(spark, sf_dir):
     return training.model_rows(demand(spark, sf_dir), HORIZON)
 
 
-@lru_cache(maxsize=4)
-def _fitted(application: str, spark, sf_dir):
-    return training.train(_rows(spark, sf_dir), TRAIN_END, VAL_END, SMALL)
-
-
 def _model(spark, sf_dir):
-    """One fit per session and data folder, shared by the queries below."""
-    return _fitted(spark.sparkContext.applicationId, spark, sf_dir)
+    return training.train(_rows(spark, sf_dir), TRAIN_END, VAL_END, {"n_estimators": TREES})
 
 
 def _forecast(spark, sf_dir):
@@ -50,33 +54,50 @@ def _forecast(spark, sf_dir):
     return training.predict(_model(spark, sf_dir), rows)
 
 
+# Predictions are sums of leaf means: not far outside of what the target was in training.
+_RANGE = "(SELECT max(trip_count) FROM demand)"
+
+
 @register(
     "train_model",
     DEMAND
-    + f""" SELECT timestamp_hour, pickup_community_area, TRUE AS has_prediction FROM demand
+    + f""" SELECT timestamp_hour, pickup_community_area, {_RANGE} AS most, TRUE AS in_range FROM demand
     WHERE timestamp_hour >= TIMESTAMP '{TRAIN_END}' AND timestamp_hour < TIMESTAMP '{VAL_END}'""",
 )
 def train_model(spark, sf_dir):
-    """Predictions of the fitted model on its validation week."""
+    """Predictions of the fitted model on its validation week against the range of the target."""
+    table = demand(spark, sf_dir)
+    most = table.select(F.max("trip_count")).scalar()
     sides = split_by_date(_rows(spark, sf_dir), TRAIN_END, VAL_END)
     made = _model(spark, sf_dir).transform(sides.where("split = 'validation'"))
-    return out(made.select(_TIME, _ID, F.col("prediction").isNotNull().alias("has_prediction")))
+    inside = F.col("prediction").between(-0.25 * most, 1.25 * most).alias("in_range")
+    return out(made.select(_TIME, _ID, most.alias("most"), inside))
 
 
 @register(
     "batch_forecast",
-    COUNTS
+    DEMAND
     + f""", steps AS (SELECT unnest(generate_series(TIMESTAMP '{FORECAST_START}', TIMESTAMP '{FORECAST_START}' + INTERVAL {HORIZON - 1} HOUR, INTERVAL 1 HOUR)) AS timestamp_hour)
-    SELECT timestamp_hour, pickup_community_area, TRUE AS not_negative FROM steps CROSS JOIN areas""",
+    SELECT timestamp_hour, pickup_community_area, TRUE AS in_range FROM steps CROSS JOIN areas""",
 )
 def batch_forecast(spark, sf_dir):
+    """A forecast for every id and step, none below zero or far above the largest count."""
+    most = demand(spark, sf_dir).select(F.max("trip_count")).scalar()
     made = _forecast(spark, sf_dir)
-    return out(made.select(_TIME, _ID, (F.col("prediction") >= 0).alias("not_negative")))
+    return out(made.select(_TIME, _ID, F.col("prediction").between(0, 1.25 * most).alias("in_range")))
 
 
-@register("forecast_accuracy")
+@register(
+    "forecast_accuracy",
+    NAIVE
+    + f""" SELECT count(*) AS n, {r6("sqrt(avg(power(actual - prediction, 2)))")} AS naive_rmse, TRUE AS beats_naive FROM pairs""",
+)
 def forecast_accuracy(spark, sf_dir):
-    return out(evaluate(_forecast(spark, sf_dir), demand(spark, sf_dir), extra=True))
+    """The model's error against that of repeating the week before."""
+    table = demand(spark, sf_dir)
+    naive = evaluate(naive_forecast(spark, sf_dir), table).select("rmse").scalar()
+    scored = evaluate(_forecast(spark, sf_dir), table)
+    return out(scored.select("n", naive.alias("naive_rmse"), (F.col("rmse") < naive).alias("beats_naive")))
 
 
 @register("better_than_mean", "SELECT TRUE AS better_than_mean")
@@ -88,9 +109,15 @@ def better_than_mean(spark, sf_dir):
     return made.agg((error < F.stddev_pop("trip_count")).alias("better_than_mean"))
 
 
-@register("feature_importance")
+_FEATURES = ["target_lag_168", *[f"target_rollmean_{k}" for k in ROLLING_WINDOWS], "hour_sin", "hour_cos", "dow_sin", "dow_cos", "area"]
+
+
+@register("feature_importance", "SELECT unnest([" + ", ".join(f"'{f}'" for f in _FEATURES) + "]) AS feature, 1e0 AS total, TRUE AS in_range")
 def feature_importance(spark, sf_dir):
-    return out(training.feature_importance(_model(spark, sf_dir), _rows(spark, sf_dir)))
+    """One share per feature; together they are 1."""
+    found = training.feature_importance(_model(spark, sf_dir), _rows(spark, sf_dir))
+    total = found.select(F.sum("importance")).scalar()
+    return out(found.select("feature", total.alias("total"), F.col("importance").between(0, 1).alias("in_range")))
 
 
 @register("saved_model", DEMAND + f" SELECT count(*) AS n_rows, 0 AS n_different FROM demand WHERE timestamp_hour >= TIMESTAMP '{TRAIN_END}' AND timestamp_hour < TIMESTAMP '{VAL_END}'")
@@ -108,26 +135,61 @@ def saved_model(spark, sf_dir):
     )
 
 
-@register("hyperparameter_search")
+@register(
+    "hyperparameter_search",
+    "SELECT CAST(i AS VARCHAR) AS trial_id, 'SUCCEEDED' AS state, TRUE AS in_range, 1 AS n_best, TRUE AS none_better FROM range(1, 11) t(i)",
+)
 def hyperparameter_search(spark, sf_dir):
-    """Three random trials of few trees, and the best of them."""
-    ranges = {**training.SEARCH_RANGES, "n_estimators": (2, 4, "linear"), "max_depth": (2, 4, "linear")}
-    trials = training.sample_trials(spark, ranges, n=3)
+    """Ten random trials, and the best of them: its error is the smallest of all rows."""
+    ranges = {**training.SEARCH_RANGES, "n_estimators": SEARCH_TREES}
+    trials = training.sample_trials(spark, ranges)
     done = training.run_trials(_rows(spark, sf_dir), trials, TRAIN_END, VAL_END, parallel=2)
-    best = training.best_trial(done).select(F.col("trial_id").alias("best_id"))
-    marked = done.join(F.broadcast(best), done["trial_id"] == best["best_id"], "left")
-    return out(marked.withColumn("is_best", F.col("best_id").isNotNull()).drop("best_id"))
+    best = training.best_trial(done).select(F.struct("trial_id", "rmse").alias("best")).scalar()
+    inside = F.lit(True)
+    for name, (low, high, _) in ranges.items():
+        inside = inside & F.col(name).between(low, high)
+    n_best = done.agg(F.count_if(F.col("trial_id") == best.getField("trial_id")).cast("int")).scalar()
+    none_better = (F.col("rmse") >= best.getField("rmse")).alias("none_better")
+    return out(done.select("trial_id", "state", inside.alias("in_range"), n_best.alias("n_best"), none_better))
 
 
-@register("model_with_roles")
+@register(
+    "model_with_roles",
+    DEMAND
+    + f""" SELECT count(*) AS n, {r6("stddev_pop(trip_count)")} AS spread, TRUE AS better_than_mean FROM demand
+    WHERE timestamp_hour >= TIMESTAMP '{TRAIN_END}' AND timestamp_hour < TIMESTAMP '{VAL_END}'""",
+)
 def model_with_roles(spark, sf_dir):
-    """Training on declared column roles instead of the lag features."""
+    """Training on declared column roles instead of the lag features: on its validation week it does no worse
+    than the best constant, within a tenth."""
     table = demand(spark, sf_dir)
     numeric = ["hour", "day_of_week", "month", "year", "day_of_year", "hour_sin", "hour_cos"]
     roles = training.feature_roles(table, _TIME, "trip_count", _ID, [*numeric, _ID], ["is_weekend"])
-    model = training.train(table, TRAIN_END, VAL_END, {"n_estimators": 2, "max_depth": 3}, roles=roles)
-    week = split_by_date(table, TRAIN_END, VAL_END).where("split = 'validation'")
-    return out(rmse(model.transform(week), "trip_count"))
+    model = training.train(table, TRAIN_END, VAL_END, {"n_estimators": TREES}, roles=roles)
+    week = model.transform(split_by_date(table, TRAIN_END, VAL_END).where("split = 'validation'"))
+    error = F.sqrt(F.avg((F.col("trip_count") - F.col("prediction")) ** 2))
+    spread = F.stddev_pop("trip_count")
+    return out(week.agg(F.count(F.lit(1)).alias("n"), spread.alias("spread"), (error < 1.1 * spread).alias("better_than_mean")))
+
+
+@register(
+    "forecasting_run",
+    DEMAND
+    + f""" SELECT count(*) AS n, {r6("stddev_pop(trip_count)")} AS spread, TRUE AS better_than_mean FROM demand
+    WHERE timestamp_hour >= TIMESTAMP '{FORECAST_START}' AND timestamp_hour < TIMESTAMP '{FORECAST_END}'""",
+)
+def forecasting_run(spark, sf_dir):
+    """The whole run: prepare, search, train, forecast, score and record, from raw trips in a folder."""
+    folder = shared_folder(use_utc(spark), "run")
+    trips(spark, sf_dir).select("trip_start_timestamp", "pickup_community_area").write.parquet(f"{folder}/trips")
+    settings = Settings(
+        end_date=END_DATE, max_points=MAX_POINTS, train_end=TRAIN_END, val_end=VAL_END, horizon=HORIZON, search=True, max_trials=2,
+        ranges={**training.SEARCH_RANGES, "n_estimators": SEARCH_TREES},
+    )
+    scored = run_forecasting(spark, f"{folder}/trips", f"{folder}/out", settings).select("n", "rmse")
+    week = filter_window(spark.read.parquet(f"{folder}/out/demand"), FORECAST_START, FORECAST_END, _TIME, closed="left")
+    spread = week.select(F.stddev_pop("trip_count")).scalar()
+    return out(scored.select("n", spread.alias("spread"), (F.col("rmse") < spread * 1.1).alias("better_than_mean")))
 
 
 @register(

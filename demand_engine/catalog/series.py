@@ -178,3 +178,14 @@ def align_features(spark, sf_dir):
     made = future_features(_demand(spark, sf_dir), FORECAST_START, HORIZON, AREAS)
     wanted = ["target_lag_168", "hour_sin", "hour_cos", "area_8"]
     return out(feats.align_features(made, wanted, ["timestamp_hour", "pickup_community_area"]))
+
+
+_HORIZON_SQL_24 = f""", f AS (SELECT timestamp_hour, pickup_community_area, {_ONE_HOT},
+  {", ".join(f"lag(trip_count, {k}) {_W}) AS target_lag_{k}" for k in (24, 48, 168))}, {_rolls(24)}, {_CYCLIC} FROM demand)
+  SELECT * FROM f WHERE timestamp_hour >= TIMESTAMP '{FORECAST_START}' AND timestamp_hour < TIMESTAMP '{FORECAST_START}' + INTERVAL 24 HOUR"""
+
+
+@register("future_features_24h_lags", DEMAND + _HORIZON_SQL_24)
+def future_features_24h_lags(spark, sf_dir):
+    """The 24-hour horizon with the lags known a day ahead."""
+    return out(future_features(_demand(spark, sf_dir), FORECAST_START, 24, AREAS))

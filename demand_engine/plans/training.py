@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,9 @@ DEFAULTS = {
     "reg_lambda": 1.0,
 }
 SEED = 42
+STOP_AFTER = 10
+#: Columns that all categorical values share by a hash. More make collisions rarer and trees slower.
+HASH_SLOTS = 128
 
 # Searched ranges as (low, high, scale).
 SEARCH_RANGES = {
@@ -58,14 +61,13 @@ class FeatureRoles:
         known = cols if self.known_in_advance is None else self.known_in_advance
         return [c for c in cols if c in known and c not in reserved]
 
-    def stages(self, one_hot: bool = True) -> list:
-        """Indexing (and one-hot encoding) of the categorical columns, then one vector."""
+    def stages(self, slots: int = HASH_SLOTS) -> list:
+        """Hashed one-hot encoding of the categorical columns, then one vector. Nothing is fitted, so no list
+        of values, however long, reaches the driver."""
         stages, inputs = [], list(self.usable(self.numeric))
         for c in self.usable(self.categorical):
-            stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"))
-            if one_hot:
-                stages.append(OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_hot", dropLast=False))
-            inputs.append(f"{c}_hot" if one_hot else f"{c}_index")
+            stages.append(FeatureHasher(inputCols=[c], categoricalCols=[c], outputCol=f"{c}_hot", numFeatures=slots))
+            inputs.append(f"{c}_hot")
         return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
@@ -104,11 +106,20 @@ def _regressor(params: dict, label: str) -> GBTRegressor:
         subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy="all" if share >= 1 else str(share),
         seed=SEED,
-        validationIndicatorCol="is_validation",
-        validationTol=0.0,
     )
 
 
+def best_round(errors: list[float], patience: int = STOP_AFTER) -> int:
+    """How many rounds to keep: up to the smallest error before ``patience`` rounds in a row brought no gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 @contextmanager
 def kept(rows: DataFrame):
     """Keeps the rows on the executors (memory, else disk) while several jobs read them."""
@@ -126,25 +137,33 @@ def train(
     rows: DataFrame, train_end, val_end, params: dict | None = None, time: str = "timestamp_hour",
     target: str = "trip_count", roles: FeatureRoles | None = None,
 ) -> PipelineModel:
-    """Fits on the rows before ``train_end``; those up to ``val_end`` decide when to stop adding trees.
+    """Fits on the rows before ``train_end``; the error on those up to ``val_end``, round by round, decides how
+    many trees are kept (``best_round``); fewer than fitted are fitted again, which gives the same first trees.
 
     ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults.
     """
     if roles is None:
         numeric = [c for c in feature_columns(rows) if not c.startswith("area_")]
         roles = FeatureRoles(time, target, "", numeric, ["area"])
-    stages = [*roles.stages(), _regressor(params or {}, target)]
+    regressor = _regressor(params or {}, target)
     with kept(rows):
         sides = split_by_date(rows, train_end, val_end, time, check=True)
-        return Pipeline(stages=stages).fit(sides.withColumn("is_validation", F.col("split") == "validation"))
+        encode = Pipeline(stages=roles.stages()).fit(rows.limit(0))
+        ready = encode.transform(sides).select("split", target, "features")
+        with kept(ready.where("split = 'train'")) as learned:
+            model = regressor.fit(learned)
+            errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
+            keep = best_round(errors)
+            if keep < len(errors):
+                model = regressor.copy({regressor.maxIter: keep}).fit(learned)
+    return PipelineModel([*encode.stages, model])
 
 
 def model_inputs(model: PipelineModel) -> list[str]:
     """The columns a fitted model reads."""
     made, inputs = set(), []
     for stage in model.stages[:-1]:
-        cols = stage.getInputCols() if isinstance(stage, VectorAssembler) else [stage.getInputCol()]
-        inputs += [c for c in cols if c not in made]
+        inputs += [c for c in stage.getInputCols() if c not in made]
         made.add(stage.getOutputCol())
     return inputs
 
@@ -216,11 +235,15 @@ def best_trial(trials: DataFrame, goal: str = "MINIMIZE", metric: str = "rmse")
 
 
 def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """(feature, importance), largest first; names come from the vector the model was fit on."""
-    groups = model.transform(rows.limit(0)).schema["features"].metadata["ml_attr"]["attrs"].values()
-    names = {a["idx"]: a["name"] for group in groups for a in group}
+    """(feature, importance), largest first, per column the model reads: a categorical one has the sum of its
+    hashed columns."""
+    sizes = {s.getOutputCol(): (s.getInputCols()[0], s.getNumFeatures()) for s in model.stages[:-2]}
     scores = model.stages[-1].featureImportances.toArray()
-    pairs = [(names.get(i, f"feature_{i}"), float(s)) for i, s in enumerate(scores)]
+    pairs, at = [], 0
+    for c in model.stages[-2].getInputCols():
+        name, size = sizes.get(c, (c, 1))
+        pairs.append((name, float(scores[at : at + size].sum())))
+        at += size
     spark = rows.sparkSession
     return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 

@@ -36,6 +36,8 @@ def test_roles(rows):
     roles = training.feature_roles(df, "t", "y", "id", ["hour", "id", "y"], ["weekend"], ["hour", "weekend"])
     assert roles.usable(roles.numeric) == ["hour"]
     assert roles.stages()[-1].getInputCols() == ["hour", "weekend_hot"]
+    assert training.best_round([5.0, 4.0, 4.5, 3.0, *[9.0] * 9, 2.0, *[9.0] * 10, 1.0]) == 14
+    assert training.best_round([5.0, *[6.0] * 10, 1.0]) == 1 and training.best_round([1.0]) == 1
     with pytest.raises(ValueError):
         training.feature_roles(df, "t", "y", "id", ["nope"], [])
 
