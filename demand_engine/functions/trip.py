@@ -99,6 +99,7 @@ def prediction_payload(
     df: DataFrame, generated_at: str, prediction: str = "prediction", inputs: list[str] | None = None
 ) -> DataFrame:
     """Adds ``payload``: the prediction, the row it was made from and the time, as JSON text."""
+    # The field names of the payload.
     body = F.struct(
         F.col(prediction).cast("double").alias("predicted_duration_minutes"),
         F.struct(*(inputs or MODEL_INPUTS)).alias("input_data"),

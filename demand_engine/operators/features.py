@@ -101,5 +101,5 @@ def align_features(df: DataFrame, model_cols: list[str], keys: list[str]) -> Dat
     missing = [c for c in model_cols if c not in have]
     if missing:
         extra = sorted(set(have) - set(model_cols))
-        raise ValueError(f"Input features mismatch model features. Missing: {missing}. Extra: {extra}")
+        raise ValueError(f"the model reads {missing}, which the table lacks; the table also has {extra}")
     return df.select(*keys, *model_cols)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +13,6 @@ from demand_engine.operators.score import accuracy, join_actuals, restrict_to_ra
 from demand_engine.operators.series import ROLLING_WINDOWS
 
 
-def next_full_hour(now: datetime | None = None) -> datetime:
-    """Where a forecast starts that follows the present."""
-    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    return now.replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)
-
-
 def future_target_features(
     history: DataFrame,
     start,

@@ -4,7 +4,6 @@ import pytest
 
 from demand_engine.functions import calendar
 from demand_engine.operators.holidays import add_holidays, federal_holidays
-from demand_engine.plans.forecast import next_full_hour
 
 
 def test_record_of_a_monday(rows):
@@ -30,10 +29,6 @@ def test_axis_has_both_ends(spark):
     assert axis.count() == 2976
 
 
-def test_next_full_hour():
-    assert next_full_hour(dt.datetime(2024, 1, 1, 23, 59, 1)) == dt.datetime(2024, 1, 2)
-
-
 def test_weekday_bases(spark):
     got = [r[0] for r in spark.range(1, 8).select(calendar.sun1_to_mon0("id")).collect()]
     assert got == [6, 0, 1, 2, 3, 4, 5]
