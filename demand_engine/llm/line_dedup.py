@@ -6,10 +6,10 @@ they are (digits masked), and, from MIN_WILD tokens on, the same with the first
 rest generalised to ``<*>``, so that a field that varies in one half doesn't hide the template.
 
 A template recurs if it stands in at least ``min_docs`` different texts and in as many different
-surroundings, and its surroundings are at least ``min_spread`` of its texts. The surroundings are the tree
-paths of the lines before and after: those of a license line or a repeated passage differ from document to
-document, while the lines of copies, exact or near, keep their neighbours. So copies are left whole for the
-operators that look for them. Lines under MIN_TOKENS tokens need ``short_docs`` texts.
+surroundings, and its surroundings are at least ``min_spread`` of its texts. The surroundings of a line are one
+other line of its text, drawn by the smallest hash of leading tokens: a license line or a repeated passage has as
+many as it has texts, nearly, while copies of one text, exact or near, mostly draw the same line. So copies are
+left whole for the operators that look for them. Lines under MIN_TOKENS tokens need ``short_docs`` texts.
 
 Built-in Spark expressions only: paths and templates are made inside each row, so what is shuffled is
 hashes; counts are pre-aggregated per (template, text) and (template, surroundings), which spreads a
@@ -34,7 +34,7 @@ MIN_TOKENS = 5
 MIN_WILD = 12
 MIN_DOCS = 3
 SHORT_DOCS = 30
-MIN_SPREAD = 0.25
+MIN_SPREAD = 0.4
 VARIABLE = "[^ ]*[0-9][^ ]*"
 
 
@@ -43,20 +43,22 @@ def _text_hash():
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, line_no, template, n_tokens, place``: a row per line and template; place is the
-    hash of the paths around it."""
+    """``doc_id, text_hash, line_no, template, n_tokens, place``: a row per line and template; place stands for
+    another line of the text."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     tokens = F.transform(lines, lambda x: F.split(F.regexp_replace(F.trim(x), VARIABLE, "<*>"), " "))
     docs = (
         pick(documents, doc_id="doc_id", text="text")
         .select("doc_id", _text_hash().alias("text_hash"), tokens.alias("tokens"))
-        .withColumn("paths", F.transform("tokens", lambda t: F.xxhash64(F.size(t), F.slice(t, 1, LEAD))))
+        .withColumn("leads", F.transform("tokens", lambda t: F.md5(F.array_join(F.slice(t, 1, LEAD), " "))))
+        .withColumn("least", F.slice(F.array_sort(F.array_distinct("leads")), 1, 2))
     )
 
     def entry(t, i):
         n = F.size(t)
         half = LEAD + F.floor((n - LEAD) / 2).cast("int")
-        path = F.get(F.col("paths"), i)
+        lead = F.get(F.col("leads"), i)
+        path = F.xxhash64(n, lead)
         first = F.slice(t, LEAD + 1, F.greatest(half - LEAD, F.lit(0)))
         second = F.slice(t, half + 1, F.greatest(n - half, F.lit(0)))
         wild = F.array(
@@ -64,9 +66,8 @@ def occurrences(documents: DataFrame) -> DataFrame:
             F.xxhash64(path, F.lit(1), first),
             F.xxhash64(path, F.lit(2), second),
         )
-        place = F.xxhash64(
-            F.coalesce(F.get(F.col("paths"), i - 1), F.lit(0)), F.coalesce(F.get(F.col("paths"), i + 1), F.lit(0))
-        )
+        least = F.get(F.col("least"), F.lit(0))
+        place = F.xxhash64(F.when(least != lead, least).otherwise(F.get(F.col("least"), F.lit(1))))
         empty = (n == 1) & (F.get(t, F.lit(0)) == "")
         templates = F.when(empty, F.array().cast("array<bigint>")).when(n < MIN_WILD, F.slice(wild, 1, 1)).otherwise(wild)
         return F.struct(i.alias("line_no"), n.alias("n_tokens"), place.alias("place"), templates.alias("templates"))

@@ -184,11 +184,12 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, '
 l AS (
   SELECT doc_id, t, i, string_split(regexp_replace(trim(ls[i]), '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tok
   FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
-p AS (SELECT *, len(tok) AS n, {{'n': len(tok), 'lead': tok[1:{line_dedup.LEAD}]}} AS path FROM l),
+p AS (SELECT *, len(tok) AS n, md5(array_to_string(tok[1:{line_dedup.LEAD}], ' ')) AS lead FROM l),
+m AS (SELECT doc_id, list_sort(list(DISTINCT lead))[1:2] AS least FROM p GROUP BY doc_id),
 q AS (
-  SELECT *, {line_dedup.LEAD} + (n - {line_dedup.LEAD}) // 2 AS half,
-    {{'before': lag(path) OVER w, 'after': lead(path) OVER w}} AS place
-  FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT *, {line_dedup.LEAD} + (n - {line_dedup.LEAD}) // 2 AS half, {{'n': n, 'lead': lead}} AS path,
+    coalesce(CASE WHEN least[1] <> lead THEN least[1] ELSE least[2] END, '') AS place
+  FROM p JOIN m USING (doc_id)),
 o AS (
   SELECT doc_id, t, i, n, place, {{'k': 0, 'path': path, 'rest': tok}} AS template FROM q WHERE NOT (n = 1 AND tok[1] = '')
   UNION ALL SELECT doc_id, t, i, n, place, {{'k': 1, 'path': path, 'rest': tok[{line_dedup.LEAD + 1}:half]}} FROM q
