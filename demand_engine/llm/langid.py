@@ -26,8 +26,8 @@ from demand_engine.llm import shingles, svm
 from demand_engine.llm.common import pick, small_batches
 
 UNKNOWN = "und"
-SAMPLE_PER_LANGUAGE = 500
-DIMENSIONS = 8192
+SAMPLE_PER_LANGUAGE = 400
+DIMENSIONS = 4096
 ORDERS = (2, 3, 4)
 EXCERPT_BYTES = 80
 #: Below this score the pipeline rejects a document.
@@ -82,7 +82,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
             shifted = np.zeros(n, dtype=np.uint32)
             shifted[: n - k] = low[k:]
             value = (value * np.uint32(257) + shifted) * _ODD
-        place = ((value ^ (value >> np.uint32(15))) * _ODD >> np.uint32(19)).astype(np.int64)
+        place = ((value ^ (value >> np.uint32(15))) * _ODD >> np.uint32(20)).astype(np.int64)
         place[np.arange(n) + order > ends] = DIMENSIONS
         places.append(place)
     return places, at
@@ -110,23 +110,27 @@ def _count_features(batches):
 
 class Model:
     """Families, their languages, and a weight table with a column per machine: families one against the rest
-    (for more than one family), then the pairs of languages within each family."""
+    (for more than one family), then the pairs of languages within each family. The last column of ``x`` is 1."""
 
     def __init__(self, languages: list[str], x: np.ndarray | None = None, labels: np.ndarray | None = None):
         self.families: dict[str, list[str]] = {}
         for code in sorted(languages):
             self.families.setdefault(FAMILY_OF.get(code, code), []).append(code)
         self.names = sorted(self.families)
-        machines = []
-        family = np.array([FAMILY_OF.get(c, c) for c in labels]) if labels is not None else None
-        if len(self.names) > 1:
-            machines += [(np.ones(len(x), bool), family == name) for name in self.names]
         self.pairs = [p for name in self.names for p in combinations(self.families[name], 2)]
-        machines += [((labels == a) | (labels == b), labels == a) for a, b in self.pairs]
-        self.weights = np.zeros((DIMENSIONS + 1, len(machines)), dtype=np.float32)
-        self.bias = np.zeros(len(machines), dtype=np.float32)
+        many = len(self.names) > 1
+        n_machines = len(self.names) * many + len(self.pairs)
+        self.weights = np.zeros((DIMENSIONS + 1, n_machines), dtype=np.float32)
+        self.bias = np.zeros(n_machines, dtype=np.float32)
+        if x is None:
+            return
+        family = np.array([FAMILY_OF.get(c, c) for c in labels])
+        machines = [(np.arange(len(x)), family == name) for name in self.names] if many else []
+        for a, b in self.pairs:
+            rows = np.flatnonzero((labels == a) | (labels == b))
+            machines.append((rows, labels[rows] == a))
         for k, (rows, positive) in enumerate(machines):
-            w = svm.fit(x[rows], positive[rows])
+            w = svm.fit(x, rows, positive)
             self.weights[:DIMENSIONS, k], self.bias[k] = w[:-1] * SCALE, w[-1]
 
     def decide(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +182,8 @@ def learn(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Mode
     if len(known) < 2:
         return Model(known)
     found.sort(key=lambda r: (r.lang, bytes(r.places), bytes(r["values"])))
-    x = np.zeros((len(found), DIMENSIONS), dtype=np.float32)
+    x = np.zeros((len(found), DIMENSIONS + 1), dtype=np.float32)
+    x[:, DIMENSIONS] = 1
     for i, r in enumerate(found):
         x[i, np.frombuffer(bytes(r.places), dtype=np.uint16)] = np.frombuffer(bytes(r["values"]), dtype=np.float32) * SCALE
     return Model(known, x, np.array([r.lang for r in found], dtype=object))
