@@ -82,7 +82,7 @@ COUNTS = TRIPS + f""", raw AS (
   SELECT trip_start_timestamp, pickup_community_area FROM trips
   WHERE pickup_community_area IS NOT NULL
     AND trip_start_timestamp >= TIMESTAMP '{START}' AND trip_start_timestamp <= TIMESTAMP '{END}'
-), counts AS (
+), counts AS MATERIALIZED (
   SELECT date_trunc('hour', trip_start_timestamp) AS timestamp_hour, pickup_community_area, count(*) AS trip_count
   FROM raw GROUP BY 1, 2
 ), areas AS (SELECT DISTINCT pickup_community_area FROM raw)"""
@@ -95,7 +95,7 @@ def _demand_sql(low: str, high: str) -> str:
   SELECT h.timestamp_hour, a.pickup_community_area, coalesce(c.trip_count, 0) AS trip_count
   FROM hours h CROSS JOIN areas a LEFT JOIN counts c
     ON c.timestamp_hour = h.timestamp_hour AND c.pickup_community_area = a.pickup_community_area
-), demand AS (
+), demand AS MATERIALIZED (
   SELECT timestamp_hour, pickup_community_area, trip_count,
     hour(timestamp_hour) AS hour, dayofweek(timestamp_hour) + 1 AS day_of_week,
     month(timestamp_hour) AS month, year(timestamp_hour) AS year, dayofyear(timestamp_hour) AS day_of_year,
@@ -110,12 +110,12 @@ OBSERVED_DEMAND = _demand_sql(
     "(SELECT min(timestamp_hour) FROM counts)", "(SELECT max(timestamp_hour) FROM counts)"
 )
 
-NAIVE = DEMAND + f""", lagged AS (
+NAIVE = DEMAND + f""", lagged AS MATERIALIZED (
   SELECT timestamp_hour, pickup_community_area,
     CAST(lag(trip_count, 168) OVER (PARTITION BY pickup_community_area ORDER BY timestamp_hour) AS DOUBLE) AS prediction
   FROM demand
-), naive AS (
+), naive AS MATERIALIZED (
   SELECT * FROM lagged WHERE timestamp_hour >= TIMESTAMP '{FORECAST_START}' AND timestamp_hour < TIMESTAMP '{FORECAST_END}'
-), pairs AS (
+), pairs AS MATERIALIZED (
   SELECT n.timestamp_hour AS timestamp, n.pickup_community_area AS series_id, n.prediction, d.trip_count AS actual
   FROM naive n JOIN demand d USING (timestamp_hour, pickup_community_area))"""
