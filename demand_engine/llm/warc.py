@@ -194,8 +194,10 @@ def write_bundles(
         pick(pages, page_id="page_id", url="url", html="html")
         .withColumn("page_id", F.col("page_id").cast("bigint"))
         .withColumn("sha1", F.sha1(payload))
+        # The id as text, so that null is a plain key and one shuffle serves the join and the window.
+        .withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     )
-    slim = rows.select("page_id", "sha1", F.octet_length(F.coalesce("html", F.lit(""))).alias("n"))
+    slim = rows.select("page_id", "key", "sha1", F.octet_length(F.coalesce("html", F.lit(""))).alias("n"))
     keepers = (
         slim.groupBy("sha1")
         .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
@@ -203,15 +205,13 @@ def write_bundles(
         .select("sha1", "keeper", F.lit(True).alias("shared"))
     )
     decided = (
-        slim.select("page_id", "sha1")
+        slim.select("key", "sha1")
         .distinct()
         .join(keepers, "sha1", "left")
-        .select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "keeper", F.coalesce("shared", F.lit(False)).alias("shared"))
-    )
-    same = Window.partitionBy("_id", "_sha1").orderBy("sha1")
-    placed = rows.join(decided, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1"))).withColumn(
-        "copy", F.row_number().over(same)
+        .select("key", "sha1", "keeper", F.coalesce("shared", F.lit(False)).alias("shared"))
     )
+    same = Window.partitionBy("key", "sha1").orderBy("url")
+    placed = rows.join(decided, ["key", "sha1"]).withColumn("copy", F.row_number().over(same))
     ready = placed.select("page_id", "url", "html", "sha1", "copy", "keeper", "shared")
     folder = shared_folder(spark, "warc")
     return cut_lineage(ready.mapInArrow(_write(folder, frame_bytes, bundle_bytes), _INDEX_DDL), "warc-index")
