@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from demand_engine.llm import shingles
 from demand_engine.llm.common import pick, small_batches
 
-TOXIC_SAMPLE = 1000
-CLEAN_SAMPLE = 3000
+TOXIC_SAMPLE = 700
+CLEAN_SAMPLE = 2100
 SAMPLE_BYTES = 65_536
 DIMENSIONS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7)
@@ -37,9 +37,12 @@ SEGMENT = 20
 STEPS = 60
 #: Segments without a toxic token, for each one with.
 CLEAN_SEGMENTS = 8
-MOST_SEGMENTS = 40_000
-#: A form marks toxic tokens at this likelihood ratio and this many times the frequency in other documents.
-MIN_RATIO = 15.0
+MOST_SEGMENTS = 15_000
+#: Segments whose gradient is computed at a time.
+CHUNK = 3000
+#: A form marks toxic tokens if its likelihood ratio is beyond what chance gives one of all forms with this
+#: many documents, and its frequency this many times that in other documents.
+TESTABLE = 4
 MIN_LIFT = 20.0
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -84,9 +87,9 @@ def _ratio(t: np.ndarray, c: np.ndarray, n: np.ndarray) -> np.ndarray:
     return 2 * (t * np.log(np.maximum(t, 1) / expected_t) + c * np.log(np.maximum(c, 1) / expected_c))
 
 
-def telling_forms(per_doc: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes of the forms that tell toxic documents from others, with the numbers of other documents and
-    of both kinds; ``per_doc`` has each document's distinct forms."""
+def telling_forms(per_doc: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Sorted hashes of the forms that tell toxic documents from others, each one's number of other documents, the
+    numbers of both kinds, and the ratio needed; ``per_doc`` has each document's distinct forms."""
     n = np.array([(~toxic).sum(), toxic.sum()], dtype=float)
     both = [np.concatenate([per_doc[i] for i in np.flatnonzero(toxic == side)]) for side in (False, True)]
     (clean, n_clean), (bad, n_bad) = (np.unique(x, return_counts=True) for x in both)
@@ -96,11 +99,13 @@ def telling_forms(per_doc: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndar
         c = np.where(clean[at] == bad, n_clean[at], 0).astype(float)
     t = n_bad.astype(float)
     lift = (t / n[1]) / ((c + 0.1) / n[0])
-    kept = (_ratio(t, c, n) >= MIN_RATIO) & (lift >= MIN_LIFT) & (bad != 0)
-    return bad[kept], c[kept], n
+    # A ratio r has the chance exp(-r / 2), about.
+    needed = 2 * np.log(max(100, (n_clean >= TESTABLE).sum() + (n_bad >= TESTABLE).sum()))
+    kept = (_ratio(t, c, n) >= needed) & (lift >= MIN_LIFT) & (bad != 0)
+    return bad[kept], c[kept], n, needed
 
 
-def spread_forms(telling: np.ndarray, c: np.ndarray, n: np.ndarray, around: list[np.ndarray]) -> np.ndarray:
+def spread_forms(telling: np.ndarray, c: np.ndarray, n: np.ndarray, needed: float, around: list[np.ndarray]) -> np.ndarray:
     """Those that still tell if an occurrence counts once per word before it, and once per word after it: what is
     only in copies of one text stands between the same words. ``around`` has, for either side, rows (index into
     telling, hash of that word)."""
@@ -110,7 +115,7 @@ def spread_forms(telling: np.ndarray, c: np.ndarray, n: np.ndarray, around: list
         side = np.zeros(len(telling))
         side[index] = count
         places = np.minimum(places, side)
-    return telling[_ratio(places, c, n) >= MIN_RATIO]
+    return telling[_ratio(places, c, n) >= needed]
 
 
 class Field:
@@ -129,42 +134,49 @@ class Field:
         feature, ``labels`` and ``mask`` segment x token. The first token of a segment is always there."""
         state = [np.zeros(DIMENSIONS + 2), np.zeros((2, 2)), np.zeros(2)]
         first, second = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state]
-        n_seg, length = labels.shape
-        flat = places.reshape(-1)
         for step in range(1, steps + 1):
-            w, moves, start = state
-            emission = w[places].sum(2)
-            psi = np.stack([np.ones_like(emission), np.exp(np.clip(emission, -30, 30))], axis=2)
-            m = np.exp(moves)
-            alpha = np.zeros((n_seg, length, 2))
-            beta = np.ones((n_seg, length, 2))
-            alpha[:, 0] = np.exp(start) * psi[:, 0]
-            alpha[:, 0] /= alpha[:, 0].sum(1, keepdims=True)
-            for t in range(1, length):
-                a = (alpha[:, t - 1] @ m) * psi[:, t]
-                alpha[:, t] = np.where(mask[:, t, None], a / a.sum(1, keepdims=True), alpha[:, t - 1])
-            for t in range(length - 1, 0, -1):
-                b = (beta[:, t] * psi[:, t]) @ m.T
-                beta[:, t - 1] = np.where(mask[:, t, None], b / b.sum(1, keepdims=True), beta[:, t])
-            marginal = alpha * beta
-            marginal /= marginal.sum(2, keepdims=True)
-            off = (marginal[:, :, 1] - labels) * mask
-            g_w = np.bincount(flat, weights=np.repeat(off.reshape(-1), places.shape[2]), minlength=DIMENSIONS + 2)
-            g_w[DIMENSIONS] = 0
-            pair = alpha[:, :-1, :, None] * m * (psi * beta)[:, 1:, None, :]
-            pair /= pair.sum((2, 3), keepdims=True)
-            seen = np.zeros((2, 2))
-            real = mask[:, 1:]
-            np.add.at(seen, (labels[:, :-1][real], labels[:, 1:][real]), 1)
-            g_m = (pair * real[:, :, None, None]).sum((0, 1)) - seen
-            g_s = marginal[:, 0].sum(0) - np.bincount(labels[:, 0], minlength=2)
-            for k, (p, g) in enumerate(zip(state, (g_w + 0.05 * w, g_m + moves, g_s + start))):
+            slope = [0.05 * state[0], state[1].copy(), state[2].copy()]
+            for lo in range(0, len(labels), CHUNK):
+                part = slice(lo, lo + CHUNK)
+                for total, more in zip(slope, self._slope(state, places[part], labels[part], mask[part])):
+                    total += more
+            for k, (p, g) in enumerate(zip(state, slope)):
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
                 p -= 0.3 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
             state[0][DIMENSIONS] = 0
         self.weights, self.moves, self.first = state[0].astype(np.float32), state[1], state[2]
 
+    @staticmethod
+    def _slope(state, places, labels, mask):
+        """What some segments add to the slope of the negative logarithm of the likelihood."""
+        w, moves, start = state
+        n_seg, length = labels.shape
+        emission = w[places].sum(2)
+        psi = np.stack([np.ones_like(emission), np.exp(np.clip(emission, -30, 30))], axis=2)
+        m = np.exp(moves)
+        alpha, beta = np.zeros((n_seg, length, 2)), np.ones((n_seg, length, 2))
+        alpha[:, 0] = np.exp(start) * psi[:, 0]
+        alpha[:, 0] /= alpha[:, 0].sum(1, keepdims=True)
+        for t in range(1, length):
+            a = (alpha[:, t - 1] @ m) * psi[:, t]
+            alpha[:, t] = np.where(mask[:, t, None], a / a.sum(1, keepdims=True), alpha[:, t - 1])
+        for t in range(length - 1, 0, -1):
+            b = (beta[:, t] * psi[:, t]) @ m.T
+            beta[:, t - 1] = np.where(mask[:, t, None], b / b.sum(1, keepdims=True), beta[:, t])
+        marginal = alpha * beta
+        marginal /= marginal.sum(2, keepdims=True)
+        off = (marginal[:, :, 1] - labels) * mask
+        g_w = np.bincount(places.reshape(-1), weights=np.repeat(off.reshape(-1), places.shape[2]), minlength=DIMENSIONS + 2)
+        g_w[DIMENSIONS] = 0
+        pair = alpha[:, :-1, :, None] * m * (psi * beta)[:, 1:, None, :]
+        pair /= pair.sum((2, 3), keepdims=True)
+        seen = np.zeros((2, 2))
+        real = mask[:, 1:]
+        np.add.at(seen, (labels[:, :-1][real], labels[:, 1:][real]), 1)
+        g_m = (pair * real[:, :, None, None]).sum((0, 1)) - seen
+        return g_w, g_m, marginal[:, 0].sum(0) - np.bincount(labels[:, 0], minlength=2)
+
     def marginals(self, emission: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Each token's probability of the toxic label; ``begins`` marks the first tokens of texts."""
         n = len(emission)
@@ -249,13 +261,15 @@ def learn(documents: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAM
         .collect()
     )
     toxic = np.array([r.toxic for r in rows], dtype=bool)
+    if not toxic.any() or toxic.all():
+        return field
     texts = pa.array([r.text for r in rows], pa.string())
     del rows
     forms_of = []
     for _, data, offsets in shingles.blocks(texts):
         _, _, per_doc, forms = tokens(data, offsets)
         forms_of += [np.unique(forms[per_doc[k] : per_doc[k + 1], :-1]) for k in range(len(offsets) - 1)]
-    telling, c, n = telling_forms(forms_of, toxic)
+    telling, c, n, needed = telling_forms(forms_of, toxic)
     del forms_of
     if not len(telling):
         return field
@@ -271,7 +285,7 @@ def learn(documents: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAM
         row, _ = np.nonzero(hit)
         for side, word in zip(around, (before, after)):
             side.append(np.unique(np.stack([at[hit].astype(np.uint64), word[row]], axis=1), axis=0))
-    telling = spread_forms(telling, c, n, [np.concatenate(side) for side in around])
+    telling = spread_forms(telling, c, n, needed, [np.concatenate(side) for side in around])
     with_toxic, without = [], []
     # Enough segments for the draw below, without holding all of them.
     share = min(1.0, 2 * MOST_SEGMENTS * SEGMENT * 6 / max(1, texts.nbytes))
