@@ -244,13 +244,14 @@ def learn(documents: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAM
         .agg((F.max("toxic") > 0).alias("toxic"))
     )
     docs = pick(documents, doc_id="doc_id", text="text").where("text is not null")
-    counts = {r.toxic: r["count"] for r in docs.select("doc_id").join(marks, F.col("doc_id") == F.col("_id")).groupBy("toxic").count().collect()}
+    counts = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     field = Field()
     if len(counts) < 2:
         return field
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "_id"), F.lit(1 << 20)) / float(1 << 20)
     rate = F.when(F.col("toxic"), min(1.0, toxic_sample / counts[True])).otherwise(min(1.0, clean_sample / counts[False]))
-    drawn = marks.where(draw < rate)
+    # About toxic_sample + clean_sample ids, whatever the data: broadcast, so that no text is shuffled for the join.
+    drawn = F.broadcast(marks.where(draw < rate))
     rows = (
         docs.where(F.octet_length("text") <= SAMPLE_BYTES)
         .join(drawn, F.col("doc_id") == F.col("_id"))
