@@ -18,6 +18,7 @@ conversation; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -31,26 +32,22 @@ Template = Callable[[list[tuple[str, str]]], str]
 #: Fixed values of the default template: what begins and ends a turn, and what marks a character of a text
 #: that could be read as part of them.
 OPEN, CLOSE, ESCAPE = "### ", " </turn>\n", "\\"
-_SPECIAL = str.maketrans({c: ESCAPE + c for c in "\\#<"})
-_ROLE = str.maketrans({"\\": "\\\\", "#": "\\#", "<": "\\<", ":": "\\:"})
+_ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 PROBE = "probe"
 
 
 def escape(text: str) -> str:
-    return text.translate(_SPECIAL)
+    return text.replace("\\", "\\\\").replace("#", "\\#").replace("<", "\\<")
 
 
 def unescape(text: str) -> str:
-    out, rest = [], iter(text)
-    for c in rest:
-        out.append(next(rest) if c == ESCAPE else c)
-    return "".join(out)
+    return _ESCAPED.sub(r"\1", text)
 
 
 def turn_template(turns: list[tuple[str, str]]) -> str:
     """``### role: text </turn>`` per turn. A backslash goes before every ``\\``, ``#`` and ``<`` of texts (and
     ``:`` of roles), so neither mark can stand inside one."""
-    return "".join(f"{OPEN}{role.translate(_ROLE)}: {escape(text)}{CLOSE}" for role, text in turns)
+    return "".join(f"{OPEN}{escape(role).replace(':', ESCAPE + ':')}: {escape(text)}{CLOSE}" for role, text in turns)
 
 
 def spans_of(render: Template, turns: list[tuple[str, str]]):
