@@ -7,13 +7,17 @@ rest generalised to ``<*>``, so that a field that varies in one half doesn't hid
 
 A template recurs if it stands in at least ``min_docs`` different texts and in as many different
 surroundings, and its surroundings are at least ``min_spread`` of its texts. The surroundings of a line are one
-other line of its text, drawn by the smallest hash of leading tokens: a license line or a repeated passage has as
-many as it has texts, nearly, while copies of one text, exact or near, mostly draw the same line. So copies are
-left whole for the operators that look for them. Lines under MIN_TOKENS tokens need ``short_docs`` texts.
+other line of its text, drawn by the smallest hash of leading tokens.
+A license line or a repeated passage has as many surroundings as texts, nearly, while copies of
+one text, exact or near, mostly draw the same line. So copies are left whole for the operators that look for them.
+Whatever the share, a template recurs if it stands in ``min_docs`` texts most of whose lines, two at least, are their
+own, that is, neither begin nor end like a line of any other text: no copies do that, so a group of copies, however large, can't keep a passage in the texts outside of it.
+Lines under MIN_TOKENS tokens need ``short_docs`` texts.
 
 Built-in Spark expressions only: paths and templates are made inside each row, so what is shuffled is
 hashes; counts are pre-aggregated per (template, text) and (template, surroundings), which spreads a
-template that a third of all documents have; the last join brings the dropped line numbers to the texts.
+template that a third of all documents have, and only templates of enough texts are looked at further; the last
+join brings the dropped line numbers to the texts.
 Templates are compared by 64-bit hashes.
 
 Defined results: a null text is one empty line and stays null; empty lines stay and are never templates;
@@ -42,16 +46,28 @@ def _text_hash():
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def _empty(tokens):
+    return (F.size(tokens) == 1) & (F.get(tokens, F.lit(0)) == "")
+
+
 def occurrences(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, line_no, template, n_tokens, place``: a row per line and template; place stands for
-    another line of the text."""
+    """``doc_id, text_hash, n_ends, line_no, n_tokens, place, ends, templates``: a row per line; place stands for
+    another line of the text, ends for how the line begins and ends (null if it is empty), n_ends counts the
+    different ones of the text."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     tokens = F.transform(lines, lambda x: F.split(F.regexp_replace(F.trim(x), VARIABLE, "<*>"), " "))
+
+    def ends(t):
+        last = F.slice(t, F.greatest(F.size(t) - LEAD + 1, F.lit(1)), LEAD)
+        return F.when(~_empty(t), F.array(F.xxhash64(F.lit(0), F.slice(t, 1, LEAD)), F.xxhash64(F.lit(1), last)))
+
     docs = (
         pick(documents, doc_id="doc_id", text="text")
         .select("doc_id", _text_hash().alias("text_hash"), tokens.alias("tokens"))
         .withColumn("leads", F.transform("tokens", lambda t: F.md5(F.array_join(F.slice(t, 1, LEAD), " "))))
         .withColumn("least", F.slice(F.array_sort(F.array_distinct("leads")), 1, 2))
+        .withColumn("ends", F.transform("tokens", ends))
+        .withColumn("n_ends", F.size(F.array_compact(F.array_distinct("ends"))))
     )
 
     def entry(t, i):
@@ -68,30 +84,55 @@ def occurrences(documents: DataFrame) -> DataFrame:
         )
         least = F.get(F.col("least"), F.lit(0))
         place = F.xxhash64(F.when(least != lead, least).otherwise(F.get(F.col("least"), F.lit(1))))
-        empty = (n == 1) & (F.get(t, F.lit(0)) == "")
-        templates = F.when(empty, F.array().cast("array<bigint>")).when(n < MIN_WILD, F.slice(wild, 1, 1)).otherwise(wild)
-        return F.struct(i.alias("line_no"), n.alias("n_tokens"), place.alias("place"), templates.alias("templates"))
+        templates = F.when(_empty(t), F.array().cast("array<bigint>")).when(n < MIN_WILD, F.slice(wild, 1, 1)).otherwise(wild)
+        return F.struct(i.alias("line_no"), n.alias("n_tokens"), place.alias("place"), F.get(F.col("ends"), i).alias("ends"), templates.alias("templates"))
 
-    return (
-        docs.select("doc_id", "text_hash", F.explode(F.transform("tokens", entry)).alias("e"))
-        .select("doc_id", "text_hash", "e.line_no", "e.n_tokens", "e.place", F.explode("e.templates").alias("template"))
+    return docs.select("doc_id", "text_hash", "n_ends", F.explode(F.transform("tokens", entry)).alias("e")).select(
+        "doc_id", "text_hash", "n_ends", "e.*"
     )
 
 
-def recurring(
-    found: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, min_spread: float = MIN_SPREAD
-) -> DataFrame:
-    """``template, n_texts, n_places`` of the recurring templates."""
-    first = F.min(F.struct("line_no", "place", F.col("n_tokens").alias("n"))).alias("first")
-    per_text = found.groupBy("template", "text_hash").agg(first).select("template", "first.place", "first.n")
-    per_place = per_text.groupBy("template", "place").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n"))
+def candidates(lines: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS) -> DataFrame:
+    """``doc_id, text_hash, n_ends, line_no, place, template, n, needed`` of the templates that stand in enough texts."""
+    found = lines.select("doc_id", "text_hash", "n_ends", "line_no", "n_tokens", "place", F.explode("templates").alias("template"))
+    per_text = found.groupBy("template", "text_hash").agg(F.min("n_tokens").alias("n"))
+    counted = per_text.groupBy("template").agg(F.count(F.lit(1)).alias("n_texts"), F.min("n").alias("n"))
+    needed = F.when(F.col("n") < MIN_TOKENS, short_docs).otherwise(min_docs)
+    enough = counted.withColumn("needed", needed).where("n_texts >= needed").select("template", "needed")
+    return found.drop("n_tokens").join(enough, "template")
+
+
+def recurring(lines: DataFrame, found: DataFrame, min_spread: float = MIN_SPREAD) -> DataFrame:
+    """``template, n_texts, n_places`` of the recurring ones among the templates of ``found`` (``candidates``)."""
+    of_line = lines.select(F.struct("text_hash", "line_no").alias("line"), F.explode("ends").alias("end"))
+    of_end = of_line.groupBy("end").agg(F.min("line").alias("line"), F.max("line.text_hash").alias("last"))
+    own = (
+        of_end.where("line.text_hash = last")
+        .groupBy("line.text_hash", "line.line_no")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n = 2")
+        .groupBy("text_hash")
+        .agg(F.count(F.lit(1)).alias("n_own"))
+    )
+    first = F.min(F.struct("line_no", "place", "n_ends", "needed")).alias("first")
+    per_text = found.groupBy("template", "text_hash").agg(first).select("template", "text_hash", "first.*")
+    # A line of a template in several texts is never one of its text's own.
+    n_own, others = F.coalesce("n_own", F.lit(0)), F.col("n_ends") - 1
+    apart = (n_own >= 2) & (2 * n_own > others)
+    placed = per_text.join(own, "text_hash", "left").select(
+        "template", "needed", apart.alias("apart"), "place"
+    )
+    per_place = placed.groupBy("template", "place").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if("apart").alias("apart"), F.min("needed").alias("needed")
+    )
     counted = per_place.groupBy("template").agg(
-        F.sum("c").alias("n_texts"), F.count(F.lit(1)).alias("n_places"), F.min("n").alias("n")
+        F.sum("c").alias("n_texts"),
+        F.count(F.lit(1)).alias("n_places"),
+        F.sum("apart").alias("n_apart"),
+        F.min("needed").alias("needed"),
     )
-    needed = F.when(F.col("n") < MIN_TOKENS, short_docs).otherwise(min_docs)
-    return counted.where(
-        (F.col("n_places") >= needed) & (F.col("n_places") >= F.lit(min_spread) * F.col("n_texts"))
-    ).drop("n")
+    spread = (F.col("n_places") >= F.col("needed")) & (F.col("n_places") >= F.lit(min_spread) * F.col("n_texts"))
+    return counted.where(spread | (F.col("n_apart") >= F.col("needed"))).select("template", "n_texts", "n_places")
 
 
 def drop_recurring_lines(
@@ -100,10 +141,11 @@ def drop_recurring_lines(
     """The rows of ``documents`` with the recurring lines taken out of ``text``, and ``n_lines``,
     ``n_dropped``. These two replace columns of the same names. A text counts once per template, with the
     surroundings of the template's first line in it."""
-    found = cut_lineage(occurrences(documents), "lines")
+    lines = cut_lineage(occurrences(documents), "lines")
+    found = cut_lineage(candidates(lines, min_docs, short_docs), "line-templates")
     row_hash, key, key_hash, gone = unused(documents, "row_hash", "key", "key_hash", "gone")
     dropped = (
-        found.join(recurring(found, min_docs, short_docs, min_spread), "template", "left_semi")
+        found.join(recurring(lines, found, min_spread), "template", "left_semi")
         .groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(key_hash))
         .agg(F.collect_set("line_no").alias(gone))
     )

@@ -1,3 +1,5 @@
+import random
+
 from demand_engine.llm.line_dedup import drop_recurring_lines
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
@@ -51,3 +53,19 @@ def test_edge_rows_and_clashing_columns(spark):
     assert (50, None) in by and (51, "") in by and (52, "\n\n") in by
     assert sum(r.n_dropped for r in got) == 6
     assert drop_recurring_lines(df.limit(0)).collect() == []
+
+
+def own_line(rng):
+    return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(8))
+
+
+def test_a_passage_goes_beside_a_large_group_of_near_copies(spark):
+    rng = random.Random(0)
+    passage = own_line(rng)
+    texts = [[own_line(rng) for _ in range(4)] + [passage] + [own_line(rng) for _ in range(4)] for _ in range(300)]
+    for _ in range(1000):
+        copy = list(texts[0])
+        copy[rng.choice([0, 1, 2, 3, 5, 6, 7, 8])] = own_line(rng)
+        texts.append(copy)
+    for k, r in run(spark, [(k, "\n".join(t)) for k, t in enumerate(texts)]).items():
+        assert r.text == "\n".join(x for x in texts[k] if x != passage)
