@@ -6,12 +6,13 @@ they are (digits masked), and, from MIN_WILD tokens on, the same with the first
 rest generalised to ``<*>``, so that a field that varies in one half doesn't hide the template.
 
 A template recurs if it stands in at least ``min_docs`` different texts and in as many different
-surroundings, and its surroundings are at least ``min_spread`` of its texts. The surroundings of a line are one
-other line of its text, drawn by the smallest hash of leading tokens.
-A license line or a repeated passage has as many surroundings as texts, nearly, while copies of
+surroundings, and its surroundings are at least ``min_spread`` of its texts. The surroundings of a line are
+its text, if enough of the text's other lines are its own, that is, neither begin nor end like a line of any other
+text (an edited line of a copy mostly keeps one of both): half of them, or two and OWN_SHARE of them. Else they are one other line, drawn by the smallest hash of leading tokens.
+A license line or a repeated passage, of one line or many, has as many surroundings as texts, nearly, while copies of
 one text, exact or near, mostly draw the same line. So copies are left whole for the operators that look for them.
 Whatever the share, a template recurs if it stands in ``min_docs`` texts most of whose lines, two at least, are their
-own, that is, neither begin nor end like a line of any other text: no copies do that, so a group of copies, however large, can't keep a passage in the texts outside of it.
+own: no copies do that, so a group of copies, however large, can't keep a passage in the texts outside of it.
 Lines under MIN_TOKENS tokens need ``short_docs`` texts.
 
 Built-in Spark expressions only: paths and templates are made inside each row, so what is shuffled is
@@ -39,6 +40,8 @@ MIN_WILD = 12
 MIN_DOCS = 3
 SHORT_DOCS = 30
 MIN_SPREAD = 0.4
+#: The share of a text's own lines that makes it the surroundings of its other lines.
+OWN_SHARE = 0.2
 VARIABLE = "[^ ]*[0-9][^ ]*"
 
 
@@ -119,10 +122,11 @@ def recurring(lines: DataFrame, found: DataFrame, min_spread: float = MIN_SPREAD
     # A line of a template in several texts is never one of its text's own.
     n_own, others = F.coalesce("n_own", F.lit(0)), F.col("n_ends") - 1
     apart = (n_own >= 2) & (2 * n_own > others)
+    itself = (n_own > 0) & ((2 * n_own >= others) | ((n_own >= 2) & (n_own >= F.lit(OWN_SHARE) * others)))
     placed = per_text.join(own, "text_hash", "left").select(
-        "template", "needed", apart.alias("apart"), "place"
+        "template", "needed", apart.alias("apart"), itself.alias("itself"), F.when(itself, F.col("text_hash")).otherwise(F.col("place")).alias("place")
     )
-    per_place = placed.groupBy("template", "place").agg(
+    per_place = placed.groupBy("template", "itself", "place").agg(
         F.count(F.lit(1)).alias("c"), F.count_if("apart").alias("apart"), F.min("needed").alias("needed")
     )
     counted = per_place.groupBy("template").agg(

@@ -69,3 +69,12 @@ def test_a_passage_goes_beside_a_large_group_of_near_copies(spark):
         texts.append(copy)
     for k, r in run(spark, [(k, "\n".join(t)) for k, t in enumerate(texts)]).items():
         assert r.text == "\n".join(x for x in texts[k] if x != passage)
+
+
+def test_blocks_of_several_lines_go_whole(spark):
+    rng = random.Random(1)
+    for n_block, n_own in ((2, 2), (3, 2), (5, 5), (10, 5), (20, 5)):
+        block = [own_line(rng) for _ in range(n_block)]
+        own = [[own_line(rng) for _ in range(n_own)] for _ in range(60)]
+        for k, r in run(spark, [(k, "\n".join([*x[:1], *block, *x[1:]])) for k, x in enumerate(own)]).items():
+            assert (r.text, r.n_dropped) == ("\n".join(own[k]), n_block)
