@@ -279,5 +279,7 @@ SELECT doc_id, size, source_size, target, ((epochs + more::BIGINT) * size)::BIGI
 
 @register("op10_mixing", MIXING_SQL)
 def op10_mixing(spark, sf_dir):
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """As its SQL states: a fixed number of rounds, never over the budget."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    mixed = mixing.mix(documents, labels, rounds=mixing.ROUNDS, nearest=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
