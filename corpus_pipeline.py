@@ -3,6 +3,10 @@
 Each stage takes the documents that the one before kept and returns their columns; the last adds what the mix
 takes of each. ``run`` writes every stage as Parquet to the shared folder and reads it again, so a lost
 executor costs one stage at most.
+
+Defined results: a stage decides about rows. Rows that repeat an id are judged each by its own text in language
+ID, line dedup, decontamination and the mix, and are one document in the join of near copies, which keeps one of
+them; rows without an id are judged like others, except that the join keeps them as they are.
 """
 
 from __future__ import annotations
@@ -15,17 +19,29 @@ from demand_engine.llm.common import table, unused
 from demand_engine.session import cut_lineage
 
 
-def _only(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of documents whose id is among ``ids`` (``doc_id``)."""
-    (key,) = unused(documents, "key")
-    return documents.join(ids.select(F.col("doc_id").alias(key)).distinct(), F.col("doc_id") == F.col(key), "left_semi")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number per row, and that column's name."""
+    (row,) = unused(docs, "row")
+    return cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def _by_row(numbered: DataFrame, row: str) -> DataFrame:
+    """Rows whose id is their number."""
+    return numbered.withColumn("doc_id", F.col(row)).drop(row)
+
+
+def _only(numbered: DataFrame, row: str, found: DataFrame) -> DataFrame:
+    """Rows whose number is among ``found`` (``doc_id``), without it."""
+    (key,) = unused(numbered, "key")
+    return numbered.join(found.select(F.col("doc_id").alias(key)), F.col(row) == F.col(key), "left_semi").drop(row)
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or that no learned language fits, go."""
     model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
-    found = langid.predict(docs, model)
-    return _only(docs, found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= langid.MIN_SCORE)))
+    numbered, row = _numbered(docs)
+    found = langid.predict(_by_row(numbered, row), model)
+    return _only(numbered, row, found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= langid.MIN_SCORE)))
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +51,21 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest id stays."""
-    classes = jaccard_join.similarity_classes(docs)
-    return _only(docs, classes.where("doc_id = component_id"))
+    """Of documents that links connect, the one with the smallest id stays, by one row; rows without id stay."""
+    numbered, row = _numbered(docs)
+    kept = jaccard_join.similarity_classes(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    # Of rows with one id the one that a hash of the text puts first.
+    rows = numbered.select("doc_id", F.struct(F.xxhash64("text"), F.col(row).alias("row")).alias("_at"))
+    one = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("_at").alias("_at"))
+    named = one.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(F.col("_at.row").alias("doc_id"))
+    return _only(numbered, row, named.union(rows.where("doc_id is null").select("_at.row")))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.where(~F.col("contaminated")))
+    numbered, row = _numbered(docs)
+    found = decontaminate.contamination(_by_row(numbered, row), table(spark, sf_dir, "benchmark"))
+    return _only(numbered, row, found.where(~F.col("contaminated")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

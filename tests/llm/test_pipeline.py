@@ -51,3 +51,28 @@ def test_stages_of_empty_tables(spark):
 def test_run(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.count() > 100 and {"doc_id", "taken"} <= set(got.columns)
+
+
+def test_rows_without_id_and_with_one_id(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    clean = next(r for r in docs.orderBy("doc_id").collect() if len(r.text) > 500 and "1" not in r.text)
+    item = max((r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()), key=len)
+
+    def row(k, text):
+        return (k, text, clean.lang, clean.source, len(text))
+
+    def texts(stage, rows):
+        got = dict(corpus_pipeline.STAGES)[stage](spark, spark.createDataFrame(rows, docs.schema), SF_DIR)
+        assert got.columns == docs.columns
+        return sorted((r.doc_id or 0, r.text) for r in got.collect())
+
+    extra = [row(None, clean.text), row(-1, clean.text), row(-1, "1234 !!"), row(None, "1234 !!")]
+    known = corpus_pipeline.keep_known_language(spark, docs.union(spark.createDataFrame(extra, docs.schema)), SF_DIR)
+    got = [(r.doc_id, r.text) for r in known.where("doc_id is null or doc_id < 0").collect()]
+    assert sorted(got, key=str) == sorted([(None, clean.text), (-1, clean.text)], key=str)
+
+    rows = [row(5, clean.text), row(5, item), row(None, clean.text), row(None, item), row(6, item)]
+    assert texts("decontamination", rows) == sorted([(5, clean.text), (0, clean.text)])
+
+    rows = [row(5, clean.text), row(5, clean.text), row(6, clean.text), row(None, clean.text), row(None, clean.text)]
+    assert texts("ngram_jaccard_join", rows) == [(0, clean.text), (0, clean.text), (5, clean.text)]
