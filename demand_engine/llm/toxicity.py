@@ -304,9 +304,13 @@ def learn(documents: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAM
         with_toxic.append((p[bad], l[bad], m[bad]))
         drawn = ~bad & usable & (rng.random(len(bad)) < share)
         without.append((p[drawn], l[drawn], m[drawn]))
-    bad = [np.concatenate(x)[:MOST_SEGMENTS] for x in zip(*with_toxic)] if with_toxic else []
+    bad = [np.concatenate(x) for x in zip(*with_toxic)] if with_toxic else []
     if not bad or not len(bad[0]):
         return field
+    # A draw: the texts are in order, so a cut would leave out whole scripts.
+    if len(bad[0]) > MOST_SEGMENTS:
+        drawn = np.sort(rng.permutation(len(bad[0]))[:MOST_SEGMENTS])
+        bad = [x[drawn] for x in bad]
     other = [np.concatenate(x) for x in zip(*without)]
     keep = rng.permutation(len(other[0]))[: min(MOST_SEGMENTS, max(2000, CLEAN_SEGMENTS * len(bad[0])))]
     field.fit(*[np.concatenate([b, o[keep]]) for b, o in zip(bad, other)])

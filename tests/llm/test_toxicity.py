@@ -91,3 +91,23 @@ def test_edge_rows_and_clashing_columns(spark):
     assert toxicity.learn(docs.limit(0), labels).weights.any() == False  # noqa: E712
     odd = labels.union(spark.createDataFrame([(None, 1), (3, None), (5, 1), (5, 0)], "doc_id bigint, toxic int"))
     assert toxicity.learn(docs, odd).weights.any()
+
+
+def test_toxic_segments_over_the_bound_are_drawn_from_all_texts(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(toxicity, "MOST_SEGMENTS", 60)
+    monkeypatch.setattr(Field, "fit", lambda self, places, labels, masks: fitted.append((places, labels)))
+    rng = random.Random(0)
+
+    def text(letters, bad=None):
+        words = ["".join(rng.choices(letters, k=5)) for _ in range(30)]
+        return " ".join([*words[:9], bad, *words[9:]] if bad else words)
+
+    latin, other = "abcdefgh", "абвгдежз"
+    rows = [(k, text(latin, "zlurg"), 1) for k in range(80)] + [(100 + k, text(other, "жлург"), 1) for k in range(80)]
+    rows += [(200 + k, text(latin if k % 2 else other), 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    ((places, labels),) = fitted
+    drawn = places[labels.astype(bool)]
+    assert len({p.tobytes() for p in drawn.reshape(len(drawn), -1)[:, :1]}) == 2
