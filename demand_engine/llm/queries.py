@@ -15,6 +15,7 @@ from demand_engine.llm import (
     langid,
     line_dedup,
     mixing,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -283,3 +284,46 @@ def op10_mixing(spark, sf_dir):
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     mixed = mixing.mix(documents, labels, rounds=mixing.ROUNDS, nearest=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SPELLING_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS tab),
+r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+c AS (SELECT doc, run, count(*) AS n, hex(encode(doc || ':' || run)) AS hex FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (
+  SELECT doc, run, n, xor(4294967295, list_reduce(
+    list_transform(range(length(hex) // 2), lambda k: ('0x' || hex[2 * k + 1:2 * k + 2])::BIGINT),
+    lambda crc, b: xor(crc >> 8, tab[(xor(crc, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+  FROM c, tab),
+o AS (SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM o WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS MATERIALIZED (SELECT word, n, length(word) AS l, i, word[1:i - 1] || word[i + 1:] AS rest FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.l = b.l AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM x a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM x a JOIN w b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min({'o': other, 'n': n}, {'n': -n, 'o': other}) AS b FROM near GROUP BY word),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN b.n >= 10 * w.n THEN b.o END AS form,
+    CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+  FROM w LEFT JOIN best ON w.word = best.word),
+up AS (
+  WITH RECURSIVE up AS (
+    SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+  SELECT up.word, up.root FROM up JOIN f ON f.word = up.root WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN up ON f.word = up.word
+"""
+
+
+@register("op13_spelling_variants", SPELLING_SQL)
+def op13_spelling_variants(spark, sf_dir):
+    """Every 31st run, by a checksum, loses a code point first, which plants misspellings."""
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat_ws(":", "doc_id", "run").cast("binary"))
+    at = (h % F.char_length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring(F.col("run"), at + 2, F.char_length("run")))
+    words = found.select(F.when(h % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.group_variants(spelling.vocabulary(words))
