@@ -44,8 +44,10 @@ FIRST_LEVELS = 3
 SHARD_WORDS = 20_000
 BLOCK_WORDS = 60_000
 #: Words below which a node is verified as it is, and entries of the search handled at a time.
-LEAF_WORDS = 4
+LEAF_WORDS = 8
 CHUNK = 16_384
+#: Words up to this long are compared many at a time.
+WIDTH = 32
 
 _LEVEL_OF = np.zeros(256, dtype=np.int64)
 for _level, _letters in enumerate(LEVELS):
@@ -95,7 +97,7 @@ class Trie:
         node = np.zeros(len(counts), dtype=np.int64)
         self.keys, self.first, self.last = [None], [np.zeros(1, dtype=np.int64)], [np.array([len(counts)])]
         for level in range(counts.shape[1]):
-            key = (node << 32) | self.counts[:, level]
+            key = (node << 32) | self.counts[:, level].astype(np.int64)
             begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             self.keys.append(key[begins])
             self.first.append(begins)
@@ -162,11 +164,38 @@ def one_edit(a: bytes, b: bytes) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
+class Letters:
+    """Words as rows of bytes, from the left and from the right, for comparing many pairs at a time."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = words
+        self.lengths = np.array([len(w) for w in words], dtype=np.int64)
+        short = [w if len(w) <= WIDTH else b"" for w in words]
+        self.left, self.right = (
+            np.array(x, dtype=f"S{WIDTH}").view(np.uint8).reshape(len(x), WIDTH) for x in (short, [w[::-1] for w in short])
+        )
+
+    def one_edit(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs of word numbers are one edit apart."""
+        long, short = self.lengths[x], self.lengths[y]
+        width = min(WIDTH, int(max(long.max(initial=1), short.max(initial=1))))
+        apart = self.left[x, :width] != self.left[y, :width]
+        out = (long == short) & (apart.sum(1) == 1)
+        # With a length apart by one, beginning and end in common have to cover the shorter word.
+        lines = np.flatnonzero(np.abs(long - short) == 1)
+        end = self.right[x[lines], :width] != self.right[y[lines], :width]
+        covered = np.argmax(apart[lines], axis=1) + np.argmax(end, axis=1)
+        out[lines] = covered >= np.minimum(long[lines], short[lines])
+        for k in np.flatnonzero(np.maximum(long, short) > WIDTH):
+            out[k] = one_edit(self.words[x[k]], self.words[y[k]])
+        return out
+
+
 def _vectors(words: list[bytes]) -> np.ndarray:
     lengths = np.array([len(w) for w in words], dtype=np.int64)
     level = _LEVEL_OF[np.frombuffer(b"".join(words), dtype=np.uint8)]
     flat = np.repeat(np.arange(len(words)), lengths) * len(LEVELS) + level
-    return np.bincount(flat, minlength=len(words) * len(LEVELS)).reshape(len(words), len(LEVELS))
+    return np.bincount(flat, minlength=len(words) * len(LEVELS)).reshape(len(words), len(LEVELS)).astype(np.int32)
 
 
 def _search_block(table: pa.Table) -> pa.Table:
@@ -174,23 +203,24 @@ def _search_block(table: pa.Table) -> pa.Table:
     words = [w.encode("latin-1") for w in table.column("word").to_pylist()]
     counts, inside = np.asarray(table.column("n")), np.asarray(table.column("inside"))
     members, queries = np.flatnonzero(inside), np.flatnonzero(~inside)
-    n_near, best = np.zeros(len(queries), dtype=np.int64), [None] * len(queries)
+    n_near, best = np.zeros(len(queries), dtype=np.int64), np.full(len(queries), -1)
     if len(members) and len(queries):
-        vectors = _vectors(words)
+        vectors, letters = _vectors(words), Letters(words)
+        # Members in the order of preference, so that the best near word is the one with the smallest number.
+        members = members[sorted(range(len(members)), key=lambda k: (-counts[members[k]], words[members[k]]))]
+        first = np.full(len(queries), len(members))
         for who, word in Trie(vectors[members]).search(vectors[queries]):
-            for q, m in zip(who.tolist(), members[word].tolist()):
-                if one_edit(words[queries[q]], words[m]):
-                    n_near[q] += 1
-                    mine = (-counts[m], words[m])
-                    if best[q] is None or mine < best[q]:
-                        best[q] = mine
+            near = letters.one_edit(queries[who], members[word])
+            np.add.at(n_near, who[near], 1)
+            np.minimum.at(first, who[near], word[near])
+        best = members[np.minimum(first, len(members) - 1)]
     found = np.flatnonzero(n_near)
     return pa.Table.from_arrays(
         [
             table.column("word").take(pa.array(queries[found])),
             pa.array(n_near[found]),
-            pa.array([-int(best[q][0]) for q in found], pa.int64()),
-            pa.array([best[q][1].decode("latin-1") for q in found], pa.string()),
+            pa.array(counts[best[found]], pa.int64()),
+            table.column("word").take(pa.array(best[found])),
         ],
         schema=schema,
     )
