@@ -41,7 +41,7 @@ FILTER_BITS = 23
 BITMAP_BITS = 32768
 
 _WINDOWS = "item_id string, window string, n int, shingles array<bigint>"
-_SCANNED = "doc_id bigint, n_words bigint, hits array<struct<at: bigint, shingle: bigint, before: int, around: string>>"
+_SCANNED = "doc_id {}, n_words bigint, hits array<struct<at: bigint, shingle: bigint, before: int, around: string>>"
 _HITS = pa.list_(
     pa.struct([("at", pa.int64()), ("shingle", pa.int64()), ("before", pa.int32()), ("around", pa.string())])
 )
@@ -105,15 +105,15 @@ def shingle_filter(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def _scan(bits: np.ndarray, sizes: list[int], window: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", _HITS)])
+def _scan(bits: np.ndarray, sizes: list[int], window: int, id_type: pa.DataType):
+    schema = pa.schema([("doc_id", id_type), ("n_words", pa.int64()), ("hits", _HITS)])
 
     def has(places: np.ndarray) -> np.ndarray:
         return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64())
+            ids = batch.column("doc_id").cast(id_type)
             counts, per_row = [], []
             for first, data, offsets in shingles.blocks(batch.column("text")):
                 starts, ends, hashes, per_doc = shingles.words(data, offsets, shingles.ALPHANUMERIC)
@@ -144,7 +144,7 @@ def _scan(bits: np.ndarray, sizes: list[int], window: int):
     return run
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE):
+def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE, id_type: str = "bigint"):
     """``rows`` (``row_id, doc_id, n_words``), ``spans`` (``row_id, at, n, window``: each occurrence of a window)
     and ``windows`` (``item_id, window, n, shingles``)."""
     spark = documents.sparkSession
@@ -152,9 +152,10 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size:
     items = pick(benchmark, item_id="item_id", text="text").select(F.col("item_id").cast("string"), "text")
     windows = cut_lineage(items.mapInArrow(_item_windows(window, size), _WINDOWS), "windows")
     sizes = sorted(r.k for r in windows.select(F.least("n", F.lit(size)).alias("k")).distinct().collect())
-    docs = pick(documents, doc_id="doc_id", text="text").select(F.col("doc_id").cast("bigint"), "text")
+    docs = pick(documents, doc_id="doc_id", text="text").select(F.col("doc_id").cast(id_type), "text")
+    arrow_type = pa.string() if id_type == "string" else pa.int64()
     scanned = cut_lineage(
-        docs.mapInArrow(_scan(shingle_filter(windows), sizes, window), _SCANNED).withColumn(
+        docs.mapInArrow(_scan(shingle_filter(windows), sizes, window, arrow_type), _SCANNED.format(id_type)).withColumn(
             "row_id", F.monotonically_increasing_id()
         ),
         "scanned",
@@ -182,10 +183,12 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size:
     return scanned.select("row_id", "doc_id", "n_words"), spans, windows
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE) -> DataFrame:
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int = SHINGLE, id_type: str = "bigint"
+) -> DataFrame:
     """Per document ``doc_id, n_words, n_hit, n_items, items, contaminated``: words inside any occurrence of a
-    window, and the ids (as text, sorted) of the items whose windows occur."""
-    rows, spans, windows = scan(documents, benchmark, window, size)
+    window, and the ids (as text, sorted) of the items whose windows occur. ``id_type`` is bigint or string."""
+    rows, spans, windows = scan(documents, benchmark, window, size, id_type)
     spans = cut_lineage(spans, "spans")
     before = Window.partitionBy("row_id").orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
     covered = (

@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from demand_engine.llm import shingles, svm
 from demand_engine.llm.common import pick, small_batches
@@ -189,13 +191,13 @@ def learn(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Mode
     return Model(known, x, np.array([r.lang for r in found], dtype=object))
 
 
-def _score(model: Model):
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+def _score(model: Model, carried: int, schema: pa.Schema):
+    """The first ``carried`` columns as they are, then language and score of the text after them."""
 
     def run(batches):
         for batch in batches:
             langs, scores = [np.zeros(0, dtype=object)], [np.zeros(0)]
-            for _, data, offsets in shingles.blocks(batch.column("text")):
+            for _, data, offsets in shingles.blocks(batch.column(carried)):
                 places, at = _grams(data, offsets)
                 n = len(at) - 1
                 total, counts = np.zeros((n, model.weights.shape[1])), np.zeros(n)
@@ -207,20 +209,31 @@ def _score(model: Model):
                 lang, score = model.decide(total / np.maximum(counts, 1)[:, None] + model.bias)
                 langs.append(lang)
                 scores.append(score)
-            known = np.asarray(batch.column("letter").to_pylist(), dtype=bool)
+            known = np.asarray(batch.column(carried + 1).to_pylist(), dtype=bool)
             lang = np.where(known, np.concatenate(langs), UNKNOWN) if len(known) else []
             score = np.where(known, np.concatenate(scores), 0.0) if len(known) else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(lang), pa.string()), pa.array(score, pa.float64())], schema=schema
-            )
+            found = [pa.array(list(lang), pa.string()), pa.array(score, pa.float64())]
+            kept = [c.cast(f.type) for c, f in zip(batch.columns[:carried], schema)]
+            yield pa.RecordBatch.from_arrays([*kept, *found], schema=schema)
 
     return run
 
 
+def judged(documents: DataFrame, model: Model, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """The rows with all their columns, and language and score of their text under these names."""
+    small_batches(documents.sparkSession)
+    rows = documents.select(
+        "*", F.lower(F.coalesce(F.col("text"), F.lit(""))), F.coalesce(has_letter(F.col("text")), F.lit(False))
+    )
+    out = StructType([*documents.schema, StructField(lang_pred, StringType()), StructField(score, DoubleType())])
+    return rows.mapInArrow(_score(model, len(documents.columns), to_arrow_schema(out)), out)
+
+
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """Per row ``doc_id, lang_pred, score``, from the text alone."""
     small_batches(documents.sparkSession)
     rows = pick(documents, doc_id="doc_id", text="text").select(
         F.col("doc_id").cast("bigint"), F.lower(F.coalesce("text", F.lit(""))).alias("text"), has_letter(F.col("text")).alias("letter")
     )
-    return rows.mapInArrow(_score(model), "doc_id bigint, lang_pred string, score double")
+    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    return rows.mapInArrow(_score(model, 1, schema), "doc_id bigint, lang_pred string, score double")

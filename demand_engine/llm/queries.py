@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.llm import (
+    alignment,
     chat,
     decontaminate,
     exact_dedup,
@@ -18,6 +19,7 @@ from demand_engine.llm import (
     spelling,
     token_counts,
     toxicity,
+    vector_join,
     warc,
 )
 from demand_engine.llm.common import table
@@ -286,6 +288,32 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op11_cross_tokenizer_alignment")
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    found = alignment.aligned(table(spark, sf_dir, "documents"), digest=True)
+    return alignment.with_support(found).withColumnRenamed("groups", "groups_sha256")
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS l FROM e
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (a.l * b.l) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r AS (SELECT vec_id, vec_id AS other FROM e UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.other)
+SELECT r.vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(other) AS component_id, r.vec_id = min(other) AS kept
+FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id
+"""
+
+
+@register("op12_embedding_near_dedup", EMBEDDING_SQL)
+def op12_embedding_near_dedup(spark, sf_dir):
+    return vector_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 SPELLING_SQL = r"""
 WITH tab AS (
   SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS tab),
