@@ -183,33 +183,49 @@ def op9_decontamination(spark, sf_dir):
 
 
 LINE_DEDUP_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS t, string_split(coalesce(text, ''), chr(10)) AS ls, coalesce(text, '') AS text FROM documents),
+x AS (SELECT t, any_value(ls) AS ls FROM d GROUP BY t),
 l AS (
-  SELECT doc_id, t, i, string_split(regexp_replace(trim(ls[i]), '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tok
-  FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
-p AS (SELECT *, len(tok) AS n, md5(array_to_string(tok[1:{line_dedup.LEAD}], ' ')) AS lead FROM l),
-m AS (SELECT doc_id, list_sort(list(DISTINCT lead))[1:2] AS least FROM p GROUP BY doc_id),
+  SELECT t, i, string_split(regexp_replace(trim(ls[i]), '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS tok
+  FROM x, unnest(range(1, len(ls) + 1)) AS u(i)),
+p AS MATERIALIZED (
+  SELECT *, len(tok) AS n, md5(array_to_string(tok[1:{line_dedup.LEAD}], ' ')) AS lead, len(tok) = 1 AND tok[1] = '' AS blank FROM l),
+m AS (SELECT t, list_sort(list(DISTINCT lead))[1:2] AS least FROM p GROUP BY t),
 q AS (
   SELECT *, {line_dedup.LEAD} + (n - {line_dedup.LEAD}) // 2 AS half, {{'n': n, 'lead': lead}} AS path,
     coalesce(CASE WHEN least[1] <> lead THEN least[1] ELSE least[2] END, '') AS place
-  FROM p JOIN m USING (doc_id)),
-o AS (
-  SELECT doc_id, t, i, n, place, {{'k': 0, 'path': path, 'rest': tok}} AS template FROM q WHERE NOT (n = 1 AND tok[1] = '')
-  UNION ALL SELECT doc_id, t, i, n, place, {{'k': 1, 'path': path, 'rest': tok[{line_dedup.LEAD + 1}:half]}} FROM q
+  FROM p JOIN m USING (t) WHERE NOT blank),
+o AS MATERIALIZED (
+  SELECT t, i, n, place, md5({{'k': 0, 'path': path, 'rest': tok}}::VARCHAR) AS template FROM q
+  UNION ALL SELECT t, i, n, place, md5({{'k': 1, 'path': path, 'rest': tok[{line_dedup.LEAD + 1}:half]}}::VARCHAR) FROM q
     WHERE n >= {line_dedup.MIN_WILD}
-  UNION ALL SELECT doc_id, t, i, n, place, {{'k': 2, 'path': path, 'rest': tok[half + 1:n]}} FROM q
+  UNION ALL SELECT t, i, n, place, md5({{'k': 2, 'path': path, 'rest': tok[half + 1:n]}}::VARCHAR) FROM q
     WHERE n >= {line_dedup.MIN_WILD}),
 texts AS (SELECT template, t, arg_min(place, i) AS place, min(n) AS n FROM o GROUP BY template, t),
+need AS (
+  SELECT template, CASE WHEN min(n) < {line_dedup.MIN_TOKENS} THEN {line_dedup.SHORT_DOCS} ELSE {line_dedup.MIN_DOCS} END AS needed
+  FROM texts GROUP BY template HAVING count(*) >= needed),
+e AS MATERIALIZED (SELECT t, i, md5(tok[1:{line_dedup.LEAD}]::VARCHAR) AS a, md5(tok[greatest(n - {line_dedup.LEAD - 1}, 1):n]::VARCHAR) AS z FROM q),
+ends AS (SELECT t, count(DISTINCT {{'a': a, 'z': z}}) AS n_ends FROM e GROUP BY t),
+own AS (
+  SELECT t, count(*) AS n_own
+  FROM (SELECT any_value(t) AS t, min(i) AS i FROM e GROUP BY a HAVING count(DISTINCT t) = 1)
+  JOIN (SELECT any_value(t) AS t, min(i) AS i FROM e GROUP BY z HAVING count(DISTINCT t) = 1) USING (t, i) GROUP BY t),
+placed AS (
+  SELECT template, needed, t, place, coalesce(n_own, 0) AS n_own, n_ends - 1 AS others
+  FROM texts JOIN need USING (template) JOIN ends USING (t) LEFT JOIN own USING (t)),
+judged AS (
+  SELECT *, n_own >= 2 AND 2 * n_own > others AS apart,
+    n_own > 0 AND (2 * n_own >= others OR (n_own >= 2 AND n_own >= {line_dedup.OWN_SHARE} * others)) AS itself FROM placed),
 found AS (
-  SELECT template FROM texts GROUP BY template
-  HAVING count(DISTINCT place) >= CASE WHEN min(n) < {line_dedup.MIN_TOKENS} THEN {line_dedup.SHORT_DOCS} ELSE {line_dedup.MIN_DOCS} END
-    AND count(DISTINCT place) >= {line_dedup.MIN_SPREAD} * count(*)),
-gone AS (SELECT DISTINCT doc_id, i FROM o SEMI JOIN found USING (template)),
-g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+  SELECT template FROM judged GROUP BY template, needed
+  HAVING (count(DISTINCT {{'s': itself, 'p': CASE WHEN itself THEN t ELSE place END}}) >= greatest(needed, {line_dedup.MIN_SPREAD} * count(*)))
+    OR count(*) FILTER (apart) >= needed),
+g AS (SELECT t, list(DISTINCT i) AS gone FROM o SEMI JOIN found USING (template) GROUP BY t)
 SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped,
-  CASE WHEN gone IS NULL THEN t
+  CASE WHEN gone IS NULL THEN text
     ELSE array_to_string([ls[j] FOR j IN range(1, len(ls) + 1) IF NOT list_contains(gone, j)], chr(10)) END AS text
-FROM d LEFT JOIN g USING (doc_id)
+FROM d LEFT JOIN g USING (t)
 """
 
 
@@ -235,18 +251,6 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
-_ROUNDS = ",\n".join(
-    f"""
-g{k} AS (SELECT *, NOT more AND size <= gap AS fits FROM f{k - 1}),
-h{k} AS (
-  SELECT * REPLACE (more OR (fits AND sum(size) FILTER (fits) OVER (PARTITION BY source ORDER BY key, doc_id) <= gap) AS more),
-    more AS had FROM g{k}),
-f{k} AS (
-  SELECT * EXCLUDE (fits, had) REPLACE (
-    gap - coalesce(sum(size) FILTER (more AND NOT had) OVER (PARTITION BY source), 0)::BIGINT AS gap) FROM h{k})"""
-    for k in range(1, mixing.ROUNDS + 1)
-)
-
 MIXING_SQL = f"""
 WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
 d AS (
@@ -272,19 +276,18 @@ t AS (
     CASE WHEN rank >= e.first THEN least(cap, e.level * w) ELSE cap END AS target FROM o, e),
 p AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
-f0 AS (
-  SELECT d.*, source_size, target, epochs, round(target - epochs * source_size)::BIGINT AS gap, FALSE AS more
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
-{_ROUNDS}
-SELECT doc_id, size, source_size, target, ((epochs + more::BIGINT) * size)::BIGINT AS taken FROM f{mixing.ROUNDS}
+f AS (
+  SELECT d.*, source_size, target, epochs, round(target - epochs * source_size)::BIGINT AS budget,
+    coalesce(sum(size) OVER (
+      PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, budget - before)))::BIGINT AS taken FROM f
 """
 
 
 @register("op10_mixing", MIXING_SQL)
 def op10_mixing(spark, sf_dir):
-    """As its SQL states: a fixed number of rounds, never over the budget."""
-    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    mixed = mixing.mix(documents, labels, rounds=mixing.ROUNDS, nearest=False)
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
