@@ -67,7 +67,7 @@ for _name, _col in {"speed": "average_speed_mph", "duration": "trip_minutes"}.it
     )
     def median_by_hour(spark, sf_dir, col=_col):
         rows = measured(spark, sf_dir).select(F.hour("trip_start_timestamp").alias("start_hour"), col)
-        return out(explore.median_by(rows, ["start_hour"], col))
+        return out(explore.median_by(rows, ["start_hour"], col, bounded_keys=True))
 
 
 _TOP = """SELECT '{side}' AS side, {side}_community_area AS area, count(*) AS n FROM trips

@@ -117,10 +117,9 @@ def iqr_bounds(df: DataFrame, col: str) -> DataFrame:
 
 
 def iqr_clip(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Clips to the IQR bounds of the whole column, read as one-row scalar subqueries."""
-    bounds = iqr_bounds(df, col)
-    low = bounds.select("lower_bound").scalar()
-    high = bounds.select("upper_bound").scalar()
+    """Clips to the IQR bounds of the whole column, read as one scalar subquery."""
+    bounds = iqr_bounds(df, col).select(F.struct("lower_bound", "upper_bound").alias("b")).scalar()
+    low, high = bounds.getField("lower_bound"), bounds.getField("upper_bound")
     value = F.col(col).cast("double")
     clipped = F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
     return df.withColumn(name or f"{col}_iqr_capped", clipped)

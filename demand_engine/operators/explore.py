@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demand_engine.functions.calendar import WEEKDAY_NAMES, day_name, dow_mon0, sun1_to_mon0
-from demand_engine.operators.ordering import exact_quantiles, top_k
+from demand_engine.operators.ordering import (
+    bucket_of,
+    exact_quantiles,
+    holds_rank,
+    moments,
+    quantile_ranks,
+    rank_buckets,
+    top_k,
+    values_at,
+)
 
 HEATMAP_DAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
@@ -47,12 +56,9 @@ def agg_by(
     return out if top_n is None else out.orderBy(F.desc(names[0]), *keys).limit(top_n)
 
 
-def median_by(df: DataFrame, keys: list[str], col: str, name: str = "median") -> DataFrame:
-    """Exact median per key; a key that has only nulls keeps a row with a null."""
-    found = exact_quantiles(df, keys, col, {name: 0.5})
-    if not keys:
-        return found
-    return df.select(*keys).dropna().distinct().join(found, keys, "left")
+def median_by(df: DataFrame, keys: list[str], col: str, name: str = "median", bounded_keys: bool = False) -> DataFrame:
+    """Exact median per key; a key that has only nulls keeps a row with a null. ``bounded_keys``: see ``values_at``."""
+    return exact_quantiles(df, keys, col, {name: 0.5}, bounded_keys, keep_empty=bool(keys))
 
 
 def count_by_part(df: DataFrame, time: str = "trip_start_timestamp", part: str = "hour") -> DataFrame:
@@ -183,36 +189,20 @@ def _unpivot(df: DataFrame, cols: list[str], dtype: str, ids: list[str] = (), na
     return cast.unpivot(list(ids), cols, name, "value")
 
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+MOMENTS = ["count", "mean", "std", "min", "max"]
+
+
+def _all_columns(df: DataFrame, columns: list[str], found: DataFrame) -> DataFrame:
+    """``found`` with a row for each of the columns; one without values counts 0."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return F.broadcast(names).join(found, "column_name", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+
+
 def describe_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column: count, mean, sample deviation, min, quartiles, max."""
-    moments = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        moments += [
-            F.count(v).alias(f"{c}__count"),
-            F.avg(v).alias(f"{c}__mean"),
-            F.stddev_samp(v).alias(f"{c}__std"),
-            F.min(v).alias(f"{c}__min"),
-            F.max(v).alias(f"{c}__max"),
-        ]
-    stats = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[F.col(f"{c}__{s}").alias(s) for s in ("count", "mean", "std", "min", "max")],
-            )
-            for c in cols
-        ]
-    )
-    quartiles = exact_quantiles(
-        _unpivot(df, cols, "double"), ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, bounded_keys=True
-    )
-    return (
-        df.agg(*moments)
-        .select(F.inline(stats))
-        .join(quartiles, "column_name", "left")
-        .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
-    )
+    """Per column: count, mean, sample deviation, min, quartiles, max. All columns together in two scans."""
+    found = describe_table(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    return found.select("column_name", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -229,35 +219,58 @@ def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe_table(df: DataFrame) -> DataFrame:
-    """Both kinds under each other, one row per column; what does not apply is null."""
+    """Both kinds under each other, one row per column; what does not apply is null.
+
+    Two scans whatever the number of columns: one counts the histograms of all numeric columns with their moments; the
+    other counts the values in the buckets that hold a quartile, and all texts. Both are counted map-side."""
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    shape = "column_name, count, unique, top, freq, mean, std, min, p25, p50, p75, max".split(", ")
-    frames = []
+    shape = ["column_name", "count", "unique", "top", "freq", "mean", "std", "min", *QUARTILES, "max"]
+    ranks, interpolate = quantile_ranks(QUARTILES)
+    if numbers:
+        carry = moments({m: m for m in MOMENTS})
+        hits = F.broadcast(rank_buckets(_unpivot(df, numbers, "double"), ["column_name"], "value", ranks, carry))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"), F.lit(None).cast("string").alias("text")) for c in numbers]
+    cells += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("double").alias("value"), F.col(c).alias("text")) for c in text]
+    rows = df.select(F.inline(F.array(*cells))).where("value is not null or text is not null")
+    if numbers:
+        rows = rows.withColumn("_bucket", bucket_of(rows, "value")).join(hits, ["column_name", "_bucket"], "left")
+        rows = rows.where("text is not null or _start is not null")
+        own = ["_bucket", "_start", "total", *MOMENTS]
+    else:
+        own = []
+    counted = rows.groupBy("column_name", *own, "value", "text").agg(F.count(F.lit(1)).alias("_n"))
+    stats = []
     if numbers:
-        frames.append(describe_numbers(df, numbers))
-    if text:
-        frames.append(describe_text(df, text))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out.select(*[F.col(c) if c in out.columns else F.lit(None).alias(c) for c in shape])
+        # Texts have one bucket, which is dealt out: their order doesn't matter.
+        part = F.when(F.col("text").isNotNull(), F.pmod(F.xxhash64("text"), F.lit(256))).otherwise(0)
+        earlier = Window.partitionBy("column_name", "_bucket", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_part", part).withColumn(
+            "_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        )
+        stats += [F.max("total").alias("total"), *[F.max(m).alias(f"_{m}") for m in MOMENTS]]
+        stats += [F.max(F.when(holds_rank(rank(F.col("total"))), F.col("value"))).alias(name) for name, rank in ranks.items()]
+    is_text = F.col("text").isNotNull()
+    best = F.min(F.when(is_text, F.struct((-F.col("_n")).alias("n"), F.col("text"))))
+    texts = [F.sum(F.when(is_text, F.col("_n"))).alias("_texts"), F.count("text").alias("_unique"), best.alias("_best")]
+    found = counted.groupBy("column_name").agg(*stats, *texts)
+    nothing = F.lit(None)
+    out = {
+        "count": F.coalesce("_count", "_texts") if numbers else F.col("_texts"),
+        "unique": F.when(F.col("_unique") > 0, F.col("_unique")),
+        "top": F.col("_best.text"),
+        "freq": -F.col("_best.n"),
+        **{m: F.col(f"_{m}") if numbers else nothing for m in MOMENTS[1:]},
+        **{p: interpolate(p) if numbers else nothing for p in QUARTILES},
+    }
+    made = found.select("column_name", *[c.alias(name) for name, c in out.items()])
+    return _all_columns(df, [*numbers, *text], made).select(*shape)
 
 
 def describe_by(df: DataFrame, id: str = "pickup_community_area", col: str = "trip_count") -> DataFrame:
-    """The same numbers per series."""
-    v = F.col(col)
-    moments = df.where(F.col(id).isNotNull()).groupBy(id).agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).cast("double").alias("min"),
-        F.max(v).cast("double").alias("max"),
-    )
-    quartiles = exact_quantiles(df, [id], col, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return moments.join(quartiles, id, "left").select(
-        id, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    """The same numbers per series, from the same two scans."""
+    found = exact_quantiles(df, [id], col, QUARTILES, describe={m: m for m in MOMENTS}, keep_empty=True)
+    return found.select(id, "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def unique_values(df: DataFrame, id: str = "pickup_community_area", col: str = "prediction") -> DataFrame:
@@ -317,18 +330,19 @@ def _by_slice(df: DataFrame) -> DataFrame:
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """Per slice: rows and the medians of four measures; a slice without rows reports 0."""
-    rows = _by_slice(df.select(*QUALITY_MEASURES))
-    counts = df.agg(
-        *[F.count_if(F.expr(rule)).alias(name) for name, rule in QUALITY_SLICES.items()]
-    ).select(
-        F.inline(F.array(*[F.struct(F.lit(s).alias("slice"), F.col(s).alias("n")) for s in QUALITY_SLICES]))
+    """Per slice: rows and the medians of four measures; a slice without rows reports 0. Two scans."""
+    measures = _unpivot(_by_slice(df.select(*QUALITY_MEASURES)), QUALITY_MEASURES, "double", ["slice"], "measure")
+    ranks, interpolate = quantile_ranks({"median": 0.5})
+    # Every row of a slice counts, also those without the measure.
+    carry = {"_rows": lambda _: F.count(F.lit(1))}, lambda h, keys: h.withColumn("rows", F.sum("_rows").over(Window.partitionBy(*keys)))
+    found = values_at(
+        measures, ["slice", "measure"], "value", ranks, bounded_keys=True, carry=carry, carried=["rows"], keep_empty=True
+    ).withColumn("median", interpolate("median"))
+    wide = found.groupBy("slice").agg(
+        F.max("rows").alias("n"), *[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(f"med_{m}") for m in QUALITY_MEASURES]
     )
-    measures = _unpivot(rows, QUALITY_MEASURES, "double", ["slice"], "measure")
-    medians = exact_quantiles(measures, ["slice", "measure"], "value", {"median": 0.5}, bounded_keys=True)
-    wide = medians.groupBy("slice").pivot("measure", QUALITY_MEASURES).agg(F.first("median"))
-    named = wide.toDF("slice", *[f"med_{m}" for m in QUALITY_MEASURES])
-    return counts.join(named, "slice", "left")
+    slices = df.sparkSession.createDataFrame([(s,) for s in QUALITY_SLICES], "slice string")
+    return F.broadcast(slices).join(wide, "slice", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def quality_top(df: DataFrame, k: int = 5, col: str = "payment_type") -> DataFrame:

@@ -66,3 +66,30 @@ def test_pct(rows):
 def test_unique_lists(rows):
     df = rows([(1, 3.0), (1, 1.0), (1, 3.0), (2, 2.0)], "pickup_community_area int, prediction double")
     assert {r[0]: r["values"] for r in explore.unique_value_lists(df).collect()} == {1: [1.0, 3.0], 2: [2.0]}
+
+
+@pytest.mark.parametrize("name", ["median_speed_by_hour", "quality_report", "describe_table", "describe_by_area", "iqr_clip"])
+def test_quantile_queries_scan_twice(spark, name):
+    """The given table once for the histogram and once for the values around the ranks; iqr_clip once more, to clip."""
+    from demand_engine.catalog import QUERIES
+
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") <= (3 if name == "iqr_clip" else 2)
+
+
+def test_describe_table_of_odd_columns(spark):
+    df = spark.createDataFrame(
+        [(1, None, "a", None, 1.5), (2, None, "b", None, float("nan")), (2, None, "b", None, None)],
+        "n int, empty double, t string, none string, x double",
+    )
+    got = {r.column_name: r for r in explore.describe_table(df).collect()}
+    assert set(got) == set(df.columns)
+    assert (got["n"]["count"], got["n"].mean, got["n"].p50, got["n"].unique) == (3, 5 / 3, 2.0, None)
+    assert (got["empty"]["count"], got["empty"].mean, got["none"]["count"], got["none"].top) == (0, None, 0, None)
+    assert (got["t"]["count"], got["t"].unique, got["t"].top, got["t"].freq, got["t"].p25) == (3, 2, "b", 2, None)
+    assert (got["x"]["count"], got["x"].mean, got["x"]["max"]) == (1, 1.5, 1.5)
+    assert [r.column_name for r in explore.describe_table(df.select("t")).collect()] == ["t"]
+    assert explore.describe_table(df.limit(0)).count() == 5

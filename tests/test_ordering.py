@@ -80,3 +80,41 @@ def test_storage_order(spark):
     df = ordering.sorted_for_storage(spark.range(1000).repartition(4), "id")
     parts = df.rdd.mapPartitions(lambda it: [[r.id for r in it]]).collect()
     assert [i for p in parts for i in p] == list(range(1000))
+
+
+def test_text_keys_with_a_common_beginning_are_ranked_by_descent(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SORTED_ROWS", 20)
+    texts = sorted((f"https://www.example.org/{a}/{'x' * (b % 3)}{b}" for a in ("item", "itemé", "zone") for b in range(70)), key=lambda t: t.encode())
+    texts = ["", "http", *texts]
+    df = spark.createDataFrame([(t,) for t in texts[::-1]] + [(None,)], "k string")
+    asked = []
+    order_by = type(df).orderBy
+    monkeypatch.setattr(type(df), "orderBy", lambda self, *a: (asked.append(self.count()), order_by(self, *a))[1])
+    assert sorted((r.k for r in ordering.page(df, "k", 101, 4).collect()), key=lambda t: t.encode()) == texts[101:105]
+    assert asked and max(asked) <= 20
+    assert sorted(r.k for r in ordering.first_rows(df, "k", 3).collect()) == texts[:3]
+    assert ordering.page(df, "k", len(texts), 5).count() == 0
+    assert ordering.page(df.limit(0), "k", 0, 5).count() == 0
+
+
+def test_histogram_merges_by_adding_up(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.choice([None, float("nan"), rng.gauss(0, 3)])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    parts = [ordering.value_histogram(df.where(F.col("k") == k).repartition(3), ["k"], "v") for k in "ab"]
+    assert sorted(map(tuple, parts[0].union(parts[1]).collect())) == sorted(map(tuple, ordering.value_histogram(df, ["k"], "v").collect()))
+
+
+def test_moments_come_with_the_quantiles(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("abc"), rng.choice([None, 1e9 + rng.random(), rng.gauss(1e9, 2)])) for _ in range(900)] + [("one", 2.0), ("void", None), ("void", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    names = {m: m for m in ("count", "mean", "std", "min", "max")}
+    got = {r.k: r for r in ordering.exact_quantiles(df, ["k"], "v", {"p50": 0.5}, describe=names, keep_empty=True).collect()}
+    assert set(got) == {"a", "b", "c", "one", "void"}
+    for k in "abc":
+        v = np.array([x for y, x in rows if y == k and x is not None])
+        want = (len(v), v.mean(), v.std(ddof=1), v.min(), v.max(), np.median(v))
+        assert tuple(got[k])[1:] == pytest.approx(want, rel=1e-12, abs=1e-6)
+    assert tuple(got["one"])[1:] == (1, 2.0, None, 2.0, 2.0, 2.0)
+    assert tuple(got["void"])[1:] == (0, None, None, None, None, None)
