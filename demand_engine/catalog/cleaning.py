@@ -19,6 +19,8 @@ from demand_engine.catalog.common import (
 )
 from demand_engine.functions import trip
 from demand_engine.operators import clean
+from demand_engine.session import shared_folder, use_utc
+from demand_engine.sources.committed import CommittedTable
 from demand_engine.sources.tables import require
 
 
@@ -58,31 +60,49 @@ def window_bounds(spark, sf_dir):
     return out(inside.agg(F.min(t).alias("first_event"), F.max(t).alias("last_event"), F.count(t).alias("n_events")))
 
 
-@register(
-    "coerce",
-    TRIPS
-    + """ SELECT trip_id, try_cast(raw_number AS DOUBLE) AS raw_number, try_cast(raw_time AS TIMESTAMP) AS raw_time
-    FROM trips""",
-)
+_COERCED = TRIPS + """ SELECT trip_id, try_cast(raw_number AS DOUBLE) AS raw_number, try_cast(raw_time AS TIMESTAMP) AS raw_time
+    FROM trips"""
+
+
+@register("coerce", _COERCED)
 def coerce(spark, sf_dir):
     rows = trips(spark, sf_dir).select("trip_id", "raw_number", "raw_time")
     return out(clean.coerce(rows, ["raw_time"], ["raw_number"]))
 
 
-@register(
-    "coercion_report",
+_REPORT = (
     TRIPS
     + """ SELECT 'raw_time' AS column_name, count(*) FILTER (WHERE raw_time IS NULL) AS nulls_before,
       count(*) FILTER (WHERE try_cast(raw_time AS TIMESTAMP) IS NULL) AS nulls_after,
       count(*) FILTER (WHERE raw_time IS NOT NULL AND try_cast(raw_time AS TIMESTAMP) IS NULL) AS nulls_coerced FROM trips
     UNION ALL SELECT 'raw_number', count(*) FILTER (WHERE raw_number IS NULL),
       count(*) FILTER (WHERE try_cast(raw_number AS DOUBLE) IS NULL),
-      count(*) FILTER (WHERE raw_number IS NOT NULL AND try_cast(raw_number AS DOUBLE) IS NULL) FROM trips""",
+      count(*) FILTER (WHERE raw_number IS NOT NULL AND try_cast(raw_number AS DOUBLE) IS NULL) FROM trips"""
 )
+
+
+@register("coercion_report", _REPORT)
 def coercion_report(spark, sf_dir):
     return out(clean.coercion_report(trips(spark, sf_dir), ["raw_time"], ["raw_number"]))
 
 
+def _coerced(spark, sf_dir):
+    table = CommittedTable(use_utc(spark), shared_folder(spark, "coerced"))
+    rows = trips(spark, sf_dir).select("trip_id", "raw_number", "raw_time")
+    return table, clean.coerce_into(table, rows, ["raw_time"], ["raw_number"])
+
+
+@register("coerce_while_writing", _COERCED)
+def coerce_while_writing(spark, sf_dir):
+    return out(_coerced(spark, sf_dir)[0].read())
+
+
+@register("coercion_report_of_a_write", _REPORT)
+def coercion_report_of_a_write(spark, sf_dir):
+    """The same report, counted by the write of the coerced rows."""
+    return out(_coerced(spark, sf_dir)[1])
+
+
 @register(
     "drop_null",
     TRIPS

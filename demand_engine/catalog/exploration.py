@@ -402,6 +402,27 @@ for _side in ("pickup", "dropoff"):
         return out(explore.point_density(trips(spark, sf_dir), f"{side}_latitude", f"{side}_longitude"))
 
 
+_ZOOMS = [4, 9, 14]
+
+
+@register(
+    "pickup_density_pyramid",
+    TRIPS
+    + f""", p AS (SELECT pickup_latitude::DOUBLE AS lat, pickup_longitude::DOUBLE AS lon FROM trips WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL),
+    z AS (SELECT unnest({_ZOOMS}) AS zoom),
+    c AS (SELECT zoom, CAST(floor((lat + 90) / 180 * (1 << zoom)) AS BIGINT) AS r, CAST(floor((lon + 180) / 360 * (1 << zoom)) AS BIGINT) AS c FROM p, z),
+    n AS (SELECT zoom, r, c, count(*) AS n FROM c GROUP BY ALL)
+    SELECT CAST(zoom AS INT) AS zoom, n,
+      CAST(list_sum(list_transform(range(zoom), lambda k: ((((r >> k) & 1) << (2 * k + 1)) + (((c >> k) & 1) << (2 * k))))) AS BIGINT) AS cell,
+      {r6("r * 180 / (1 << zoom)::DOUBLE - 90")} AS lat_low, {r6("(r + 1) * 180 / (1 << zoom)::DOUBLE - 90")} AS lat_high,
+      {r6("c * 360 / (1 << zoom)::DOUBLE - 180")} AS lon_low, {r6("(c + 1) * 360 / (1 << zoom)::DOUBLE - 180")} AS lon_high FROM n""",
+)
+def pickup_density_pyramid(spark, sf_dir):
+    """Pickups per cell at three zoom levels, counted once."""
+    cells = explore.density_pyramid(trips(spark, sf_dir), "pickup_latitude", "pickup_longitude", _ZOOMS)
+    return out(explore.cell_bounds(cells))
+
+
 @register(
     "demand_correlation",
     DEMAND

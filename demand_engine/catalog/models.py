@@ -35,6 +35,7 @@ from demand_engine.plans import training
 from demand_engine.plans.forecast import evaluate, future_target_features
 from demand_engine.plans.run import Settings, run_forecasting
 from demand_engine.session import shared_folder, use_utc
+from demand_engine.sources.tables import read_table
 
 TREES = 20
 SEARCH_TREES = (5, 15, "linear")
@@ -187,7 +188,7 @@ def forecasting_run(spark, sf_dir):
         ranges={**training.SEARCH_RANGES, "n_estimators": SEARCH_TREES},
     )
     scored = run_forecasting(spark, f"{folder}/trips", f"{folder}/out", settings).select("n", "rmse")
-    week = filter_window(spark.read.parquet(f"{folder}/out/demand"), FORECAST_START, FORECAST_END, _TIME, closed="left")
+    week = filter_window(read_table(spark, f"{folder}/out/demand"), FORECAST_START, FORECAST_END, _TIME, closed="left")
     spread = week.select(F.stddev_pop("trip_count")).scalar()
     return out(scored.select("n", spread.alias("spread"), (F.col("rmse") < spread * 1.1).alias("better_than_mean")))
 

@@ -1,5 +1,6 @@
 """Registered queries: sources, sinks, sorts and pages."""
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +11,7 @@ from demand_engine.operators.demand import future_grid
 from demand_engine.operators.ordering import append, page, preview, sort_table, top_k
 from demand_engine.session import shared_folder, use_utc
 from demand_engine.sources import tables
+from demand_engine.sources.committed import CommittedTable
 
 _STORED_DEMAND = DEMAND + " SELECT * REPLACE (pickup_community_area::BIGINT AS pickup_community_area) FROM demand"
 
@@ -61,11 +63,17 @@ def csv_round_trip(spark, sf_dir):
 
 @register("replace_table", _STORED_DEMAND)
 def replace_table(spark, sf_dir):
+    """Written, replaced, and left as it was by a replacement that fails half-way."""
     table = demand(spark, sf_dir)
     folder = shared_folder(spark, "table")
     tables.write_table(table.where("trip_count > 0"), folder, tables.DEMAND_SCHEMA)
     tables.write_table(table, folder, tables.DEMAND_SCHEMA)
-    return out(spark.read.parquet(folder))
+    fraction = table.withColumn("trip_count", F.when(F.col("hour") < 12, F.col("trip_count").cast("double")).otherwise(0.5))
+    try:
+        tables.write_table(fraction, folder, tables.DEMAND_SCHEMA)
+    except PySparkException:
+        pass
+    return out(tables.read_table(spark, folder))
 
 
 @register("enforce_schema", _STORED_DEMAND)
@@ -91,13 +99,39 @@ def preview_table(spark, sf_dir):
     return out(preview(demand(spark, sf_dir)))
 
 
-@register("append_missing", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+@register("append_missing", _EVENTS)
 def append_missing(spark, sf_dir):
+    """Half of the events are there; the others are appended as new files, and a repeated call adds nothing."""
+    src = read(spark, sf_dir, "events")
+    table = CommittedTable(spark, shared_folder(spark, "appended"), ["event_id"])
+    table.append(src.where((F.col("ts") < F.lit("2024-01-16").cast("timestamp")) & (F.col("event_id") % 3 > 0)), "loaded")
+    table.append_missing(src)
+    table.append_missing(src)
+    return table.read()
+
+
+@register("missing_rows", _EVENTS)
+def missing_rows(spark, sf_dir):
     src = read(spark, sf_dir, "events")
     loaded = src.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))
     return tables.append_missing(src, loaded, ["event_id"])
 
 
+@register("copy_by_key", _EVENTS)
+def copy_by_key(spark, sf_dir):
+    """A table copied in ranges of its key: three calls of three batches, each going on behind the last one's mark, and
+    one for the rest."""
+    src = read(spark, sf_dir, "events")
+    size = max(1, src.count() // 11)
+    table = CommittedTable(spark, shared_folder(spark, "copied"))
+    for batches in (3, 3, 3, 100):
+        table.copy_from(src, "event_id", size, batches)
+    return table.read()
+
+
 @register("sorted_demand", DEMAND + " SELECT * FROM demand ORDER BY timestamp_hour, pickup_community_area")
 def sorted_demand(spark, sf_dir):
     return sort_table(out(demand(spark, sf_dir)), "timestamp_hour", "pickup_community_area")

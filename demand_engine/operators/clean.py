@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from demand_engine.functions.calendar import timestamp_literal
 from demand_engine.operators.ordering import exact_quantiles
+from demand_engine.sources.committed import CommittedTable
 from demand_engine.sources.tables import require
 
 def window_bounds(end_date: str, n: int) -> tuple[datetime, datetime]:
@@ -46,25 +47,45 @@ def coerce(df: DataFrame, ts_cols: list[str] = (), num_cols: list[str] = ()) ->
     return df.withColumns(casts)
 
 
-def coercion_report(df: DataFrame, ts_cols: list[str] = (), num_cols: list[str] = ()) -> DataFrame:
-    """Per column: nulls before and after the lenient cast, and how many the cast made."""
-    kinds = {**{c: "timestamp" for c in ts_cols}, **{c: "double" for c in num_cols}}
+def _coercion_counts(kinds: dict[str, str]) -> list[Column]:
     counts = []
-    for c, kind in kinds.items():
+    for i, (c, kind) in enumerate(kinds.items()):
         counts += [
-            F.count_if(F.col(c).isNull()).alias(f"{c}__before"),
-            F.count_if(_lenient(c, kind).isNull()).alias(f"{c}__after"),
+            F.count_if(F.col(c).isNull()).alias(f"before_{i}"),
+            F.count_if(_lenient(c, kind).isNull()).alias(f"after_{i}"),
         ]
+    return counts
+
+
+def coercion_report(df: DataFrame, ts_cols: list[str] = (), num_cols: list[str] = ()) -> DataFrame:
+    """Per column: nulls before and after the lenient cast, and how many the cast made."""
+    kinds = {**{c: "timestamp" for c in ts_cols}, **{c: "double" for c in num_cols}}
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.col(f"{c}__before").alias("nulls_before"),
-            F.col(f"{c}__after").alias("nulls_after"),
-            (F.col(f"{c}__after") - F.col(f"{c}__before")).alias("nulls_coerced"),
+            F.col(f"before_{i}").alias("nulls_before"),
+            F.col(f"after_{i}").alias("nulls_after"),
+            (F.col(f"after_{i}") - F.col(f"before_{i}")).alias("nulls_coerced"),
         )
-        for c in kinds
+        for i, c in enumerate(kinds)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    return df.agg(*_coercion_counts(kinds)).select(F.inline(F.array(*rows)))
+
+
+def coerce_into(table: CommittedTable, df: DataFrame, ts_cols: list[str] = (), num_cols: list[str] = ()) -> DataFrame:
+    """Replaces the table by the coerced rows; the report of ``coercion_report``, counted while they are written, so the
+    source is read once."""
+    kinds = {**{c: "timestamp" for c in ts_cols}, **{c: "double" for c in num_cols}}
+    counts = {f"_seen_{i}": c for i, c in enumerate(_coercion_counts(kinds))}
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in counts.items()])
+    table.replace(coerce(watched, ts_cols, num_cols))
+    found = seen.get
+    rows = []
+    for i, c in enumerate(kinds):
+        before, after = found[f"_seen_{2 * i}"], found[f"_seen_{2 * i + 1}"]
+        rows.append((c, before, after, after - before))
+    return df.sparkSession.createDataFrame(rows, "column_name string, nulls_before bigint, nulls_after bigint, nulls_coerced bigint")
 
 
 def drop_null(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -313,6 +313,62 @@ def point_density(df: DataFrame, lat: str, lon: str, cell: float = 0.01) -> Data
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Levels of ``density_pyramid`` go up to this one: cells of about 5 m.
+MAX_ZOOM = 23
+
+
+def _turned(x: Column, bits: int) -> Column:
+    """The lowest ``bits`` bits of x, each followed by a zero bit."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        if bits > shift:
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def cell_code(lat: Column, lon: Column, zoom: int) -> Column:
+    """The cell of a point at a zoom level as one number: the world is halved ``zoom`` times in either direction, and the
+    bits of row and column alternate. So a cell's code, shifted right by two bits, is that of the cell around it."""
+    size = F.lit(float(1 << zoom))
+    row = F.least(F.floor((lat + 90.0) / 180.0 * size), F.lit((1 << zoom) - 1))
+    column = F.least(F.floor((lon + 180.0) / 360.0 * size), F.lit((1 << zoom) - 1))
+    return F.shiftleft(_turned(row, zoom), 1).bitwiseOR(_turned(column, zoom))
+
+
+def density_pyramid(df: DataFrame, lat: str, lon: str, zooms: list[int]) -> DataFrame:
+    """``zoom, cell, n``: rows per cell (``cell_code``) at every zoom level, of all rows with coordinates on the globe.
+
+    Rows are counted once, map-side, at the finest level; a coarser level sums the counts of the one below it, whose
+    cells its own contain. So the levels beyond the first cost what they return, not what the table holds."""
+    order = sorted(set(zooms), reverse=True)
+    if not order or order[0] > MAX_ZOOM or order[-1] < 0:
+        raise ValueError(f"zoom levels lie between 0 and {MAX_ZOOM}")
+    on_globe = F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180)
+    cell = cell_code(F.col(lat).cast("double"), F.col(lon).cast("double"), order[0])
+    finest = df.where(on_globe).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    # Every finest cell gives one row a level, summed up before and after one shuffle of counted rows.
+    levels = F.array(*[F.struct(F.lit(z).alias("zoom"), F.shiftright("cell", 2 * (order[0] - z)).alias("cell")) for z in order])
+    return finest.select("n", F.inline(levels)).groupBy("zoom", "cell").agg(F.sum("n").alias("n"))
+
+
+def cell_bounds(cells: DataFrame, zoom: str = "zoom", cell: str = "cell") -> DataFrame:
+    """The cells with ``lat_low, lat_high, lon_low, lon_high``, the box they stand for."""
+
+    def gathered(x: Column) -> Column:
+        x = x.bitwiseAND(F.lit(0x5555555555555555))
+        for shift, mask in ((1, 0x3333333333333333), (2, 0x0F0F0F0F0F0F0F0F), (4, 0x00FF00FF00FF00FF), (8, 0x0000FFFF0000FFFF), (16, 0x00000000FFFFFFFF)):
+            x = x.bitwiseOR(F.shiftright(x, shift)).bitwiseAND(F.lit(mask))
+        return x
+
+    size = F.pow(F.lit(2.0), F.col(zoom))
+    row, column = gathered(F.shiftright(cell, 1)), gathered(F.col(cell))
+    return cells.withColumns(
+        {
+            "lat_low": row / size * 180.0 - 90.0, "lat_high": (row + 1) / size * 180.0 - 90.0,
+            "lon_low": column / size * 360.0 - 180.0, "lon_high": (column + 1) / size * 360.0 - 180.0,
+        }
+    )
+
+
 # Quality slices of raw trips and the measures reported for them.
 QUALITY_SLICES = {
     "duration_not_positive": "trip_minutes <= 0",

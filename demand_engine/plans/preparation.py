@@ -8,7 +8,7 @@ from demand_engine.operators.clean import window_bounds
 from demand_engine.operators.demand import demand_table
 from demand_engine.operators.ordering import sorted_for_storage
 from demand_engine.session import use_utc
-from demand_engine.sources.tables import DEMAND_SCHEMA, scan_events, write_table
+from demand_engine.sources.tables import DEMAND_SCHEMA, read_table, scan_events, write_table
 
 
 def prepare_demand(
@@ -28,4 +28,4 @@ def prepare_demand(
     events = scan_events(use_utc(spark), source, [time, id])
     table = demand_table(events, start, end, time=time, id=id).withColumnRenamed(id, "pickup_community_area")
     write_table(sorted_for_storage(table, "timestamp_hour", "pickup_community_area"), target, DEMAND_SCHEMA)
-    return spark.read.parquet(target) if "/" in target else spark.table(target)
+    return read_table(spark, target)

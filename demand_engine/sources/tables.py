@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from demand_engine.functions.calendar import timestamp_literal
 from demand_engine.operators.ordering import first_rows
+from demand_engine.sources.committed import CommittedTable
 
 # The prepared demand table, names and types in order.
 DEMAND_SCHEMA = T.StructType(
@@ -85,13 +86,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path_or_name: str, schema: T.StructType | None = None) -> None:
-    """Replaces a Parquet folder (anything with a slash) or a catalog table, cast to the schema if one
-    is given."""
-    writer = (df if schema is None else enforce_schema(df, schema)).write.mode("overwrite")
+    """Replaces a table, cast to the schema if one is given. A folder (anything with a slash) is switched to the new
+    rows once they are all there (``CommittedTable``); ``read_table`` reads it. Else it is a catalog table."""
+    rows = df if schema is None else enforce_schema(df, schema)
     if "/" in path_or_name:
-        writer.parquet(path_or_name)
+        CommittedTable(df.sparkSession, path_or_name).replace(rows)
     else:
-        writer.saveAsTable(path_or_name)
+        rows.write.mode("overwrite").saveAsTable(path_or_name)
+
+
+def read_table(spark: SparkSession, path_or_name: str) -> DataFrame:
+    """What ``write_table`` left there."""
+    return CommittedTable(spark, path_or_name).read() if "/" in path_or_name else spark.table(path_or_name)
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -125,5 +131,6 @@ def narrow_numbers(df: DataFrame) -> DataFrame:
 
 
 def append_missing(src: DataFrame, dst: DataFrame, key: list[str]) -> DataFrame:
-    """The destination plus the source rows whose key it lacks."""
+    """The destination plus the source rows whose key it lacks, as one frame; ``CommittedTable.append_missing`` writes
+    only the rows that are new."""
     return dst.unionByName(src.join(dst.select(*key), key, "left_anti").select(*dst.columns))

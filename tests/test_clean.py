@@ -77,3 +77,19 @@ def test_flatten(rows):
         "pickup_community_area", F.struct(F.col("v").alias("value")).alias("predicted_trip_count")
     )
     assert tuple(clean.flatten_predictions(df).first()) == (8, 1.5)
+
+
+def test_coercion_is_reported_by_the_write(spark, rows, tmp_path):
+    from demand_engine.sources.committed import CommittedTable
+
+    df = rows([("1.5", "2024-01-01 00:00:00", 1), ("x", "never", 2), (None, None, 3)], "n string, t string, _rows int")
+    table = CommittedTable(spark, str(tmp_path / "t"))
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    report = {r.column_name: tuple(r)[1:] for r in clean.coerce_into(table, df, ["t"], ["n"]).collect()}
+    assert report == {"t": (1, 2, 1), "n": (1, 2, 1)}
+    # One job writes; the other reads the report.
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 2
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, clean.coerce(df, ["t"], ["n"]).collect()))
+    empty = clean.coerce_into(table, df.limit(0), ["t"], ["n"]).collect()
+    assert [tuple(r)[1:] for r in empty] == [(0, 0, 0)] * 2 and table.read().count() == 0

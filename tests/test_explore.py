@@ -93,3 +93,27 @@ def test_describe_table_of_odd_columns(spark):
     assert (got["x"]["count"], got["x"].mean, got["x"]["max"]) == (1, 1.5, 1.5)
     assert [r.column_name for r in explore.describe_table(df.select("t")).collect()] == ["t"]
     assert explore.describe_table(df.limit(0)).count() == 5
+
+
+def test_density_at_every_zoom_by_brute_force(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(1)
+    points = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)] + [(41.88, -87.63)] * 50
+    points += [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (91.0, 0.0), (None, 1.0), (1.0, None), (float("nan"), 0.0)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+    zooms = [0, 1, 7, 17, explore.MAX_ZOOM]
+    want = Counter()
+    for lat, lon in points:
+        if lat is None or lon is None or not -90 <= lat <= 90:
+            continue
+        for z in zooms:
+            r, c = (min(int((x + half) / (2 * half) * 2**z), 2**z - 1) for x, half in ((lat, 90), (lon, 180)))
+            want[z, sum((r >> k & 1) << 2 * k + 1 | (c >> k & 1) << 2 * k for k in range(z))] += 1
+    cells = explore.density_pyramid(df, "lat", "lon", zooms)
+    assert {(r.zoom, r.cell): r.n for r in cells.collect()} == want
+    boxes = explore.cell_bounds(cells.where("zoom = 17")).collect()
+    assert sum(r.n for r in boxes if r.lat_low <= 41.88 < r.lat_high and r.lon_low <= -87.63 < r.lon_high) == 50
+    with pytest.raises(ValueError):
+        explore.density_pyramid(df, "lat", "lon", [])

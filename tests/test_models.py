@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from demand_engine.sources.tables import read_table
 from demand_engine.plans import training
 from demand_engine.plans.run import Settings, run_forecasting
 
@@ -60,12 +61,12 @@ def test_whole_run(spark, tmp_path):
     out = str(tmp_path / "out")
     scored = run_forecasting(spark, str(tmp_path / "raw"), out, settings).first()
     assert scored.n == 5 * 24
-    mean_error = spark.read.parquet(f"{out}/demand").agg(F.stddev_pop("trip_count")).first()[0]
+    mean_error = read_table(spark, f"{out}/demand").agg(F.stddev_pop("trip_count")).first()[0]
     assert scored.rmse < mean_error
-    assert spark.read.parquet(f"{out}/trials").where("state = 'SUCCEEDED'").count() == 2
+    assert read_table(spark, f"{out}/trials").where("state = 'SUCCEEDED'").count() == 2
     assert spark.read.parquet(f"{out}/runs").first().forecast_horizon == 24
     model = training.load_model(f"{out}/model")
     assert "target_lag_24" in training.model_inputs(model)
     with pytest.raises(ValueError, match="target_lag_24"):
-        training.predict(model, spark.read.parquet(f"{out}/demand"))
+        training.predict(model, read_table(spark, f"{out}/demand"))
     assert spark.read.csv(f"{out}/predictions", header=True).where("cast(prediction as double) < 0").count() == 0

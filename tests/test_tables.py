@@ -49,7 +49,7 @@ def test_replace_folder_and_table(spark, tmp_path):
     for target in (str(tmp_path / "t"), "replaced_table"):
         for n in (5, 3):
             tables.write_table(spark.range(n), target, T.StructType([T.StructField("id", T.IntegerType())]))
-        back = spark.read.parquet(target) if "/" in target else spark.table(target)
+        back = tables.read_table(spark, target)
         assert back.count() == 3 and back.dtypes == [("id", "int")]
 
 
