@@ -50,8 +50,9 @@ def join_on_text_ids(spark, sf_dir):
 @register(
     "restrict_to_range",
     NAIVE
-    + """ SELECT timestamp_hour AS timestamp, pickup_community_area AS series_id, trip_count AS actual FROM demand
-    WHERE timestamp_hour BETWEEN (SELECT min(timestamp_hour) FROM naive) AND (SELECT max(timestamp_hour) FROM naive)""",
+    + """, bounds AS MATERIALIZED (SELECT min(timestamp_hour) AS low, max(timestamp_hour) AS high FROM naive)
+    SELECT timestamp_hour AS timestamp, pickup_community_area AS series_id, trip_count AS actual
+    FROM demand JOIN bounds ON timestamp_hour BETWEEN low AND high""",
 )
 def restrict_to_range(spark, sf_dir):
     return out(score.restrict_to_range(_actuals(spark, sf_dir), _predictions(spark, sf_dir)))

@@ -10,33 +10,45 @@ from demand_engine.streaming import hourly
 from demand_engine.streaming.copy import incremental_copy, read_copy
 
 
-FILES = 6
+#: Slices of time that the events land in, one after the other.
+SLICES = 6
 
 
-def _landed(spark, sf_dir):
-    """The events in several files, one after the other by time, as they would land: a stream of several
-    batches in which nothing comes too late."""
+def _landing(spark, sf_dir):
+    """The events as they would land, a slice of time after the other: a path pattern, yielded again whenever the next
+    slice is there, so that a run per slice is a stream in which nothing comes too late.
+
+    One write makes all slices, each by as many tasks as its rows need; rows without a time land first. A slice lands by
+    moving its folder."""
     folder, events = shared_folder(use_utc(spark), "landed"), fixtures.raw_events(spark, sf_dir)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    low, high = events.agg(F.min(at), F.max(at)).first()
-    part = F.floor((at - low) * FILES / (high - low + 1))
-    for k in range(FILES):
-        events.where(part == k).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+    seen = events.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high")).alias("seen")).scalar()
+    low, high = seen.getField("low"), seen.getField("high")
+    part = F.coalesce(F.floor((at - low) * SLICES / (high - low + 1)), F.lit(0)).cast("int")
+    sliced = events.withColumn("slice", part)
+    sliced.repartition("slice", F.pmod(F.xxhash64("event_id"), F.lit(8))).write.partitionBy("slice").parquet(f"{folder}/all")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{folder}/landed"))
+    if not files.exists(path(f"{folder}/all/slice=0")):
+        events.limit(0).write.parquet(f"{folder}/all/slice=0")
+    for k in range(SLICES):
+        if files.rename(path(f"{folder}/all/slice={k}"), path(f"{folder}/landed/{k}")):
+            yield f"{folder}/landed/*"
 
 
-def _trip_stream(spark, sf_dir):
-    folder = _landed(spark, sf_dir)
-    schema = fixtures.raw_events(spark, sf_dir).schema
-    return fixtures.as_trips(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
+def _trip_stream(spark, sf_dir, landed):
+    return fixtures.as_trips(spark.readStream.schema(fixtures.raw_events(spark, sf_dir).schema).parquet(landed))
 
 
 @register("incremental_copy", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def copy_events(spark, sf_dir):
-    """Two batches, then the others from the same checkpoint; a last run finds nothing new."""
-    folder, landed = shared_folder(use_utc(spark), "copy"), _landed(spark, sf_dir)
-    for limit in (2, None, None):
-        incremental_copy(spark, landed, f"{folder}/table", f"{folder}/checkpoint", 1, limit)
+    """After each slice one batch, then the others from the same checkpoint; a last run finds nothing new."""
+    folder = shared_folder(use_utc(spark), "copy")
+    for landed in _landing(spark, sf_dir):
+        incremental_copy(spark, landed, f"{folder}/table", f"{folder}/checkpoint", 2, 1)
+    for _ in range(2):
+        incremental_copy(spark, landed, f"{folder}/table", f"{folder}/checkpoint", 100)
     return read_copy(spark, f"{folder}/table")
 
 
@@ -48,8 +60,9 @@ def copy_events(spark, sf_dir):
 )
 def stream_hourly_demand(spark, sf_dir):
     folder = shared_folder(spark, "running")
-    counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
-    hourly.write_running_counts(counts, f"{folder}/table", f"{folder}/checkpoint")
+    for landed in _landing(spark, sf_dir):
+        counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir, landed))
+        hourly.write_running_counts(counts, f"{folder}/table", f"{folder}/checkpoint")
     hourly.compact_running_counts(spark, f"{folder}/table")
     return out(hourly.read_running_counts(spark, f"{folder}/table"))
 
@@ -64,8 +77,9 @@ _CLOSED = TRIPS + """, seen AS (SELECT trip_start_timestamp, pickup_community_ar
 @register("stream_closed_hours", _CLOSED + " SELECT * FROM closed")
 def stream_closed_hours(spark, sf_dir):
     folder = shared_folder(spark, "closed")
-    counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
-    hourly.write_closed_steps(counts, f"{folder}/table", f"{folder}/checkpoint")
+    for landed in _landing(spark, sf_dir):
+        counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir, landed))
+        hourly.write_closed_steps(counts, f"{folder}/table", f"{folder}/checkpoint")
     return out(spark.read.parquet(f"{folder}/table"))
 
 
@@ -83,6 +97,7 @@ def stream_filled_demand(spark, sf_dir):
     earliest = seen.select(F.min_by("pickup_community_area", "trip_start_timestamp")).scalar()
     # Read again by every batch. The earliest zone is left out: the stream meets it.
     ids = cut_lineage(distinct_ids(seen).where(F.col("pickup_community_area") != earliest))
-    counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir))
-    hourly.stream_filled_demand(counts, ids, f"{folder}/table", f"{folder}/checkpoint")
+    for landed in _landing(spark, sf_dir):
+        counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir, landed))
+        hourly.stream_filled_demand(counts, ids, f"{folder}/table", f"{folder}/checkpoint")
     return out(spark.read.parquet(f"{folder}/table").drop("batch_id"))

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel, SQLTransformer, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.operators.clean import clip
+from demand_engine.operators.encoding import look_up_parts, look_up_stage, one_hot_stages, read_dictionary
 from demand_engine.operators.features import add_cyclic, add_target_features, align_features, feature_columns
 from demand_engine.operators.score import rmse
 from demand_engine.operators.series import split_by_date
@@ -32,8 +36,6 @@ DEFAULTS = {
 }
 SEED = 42
 STOP_AFTER = 10
-#: Columns that all categorical values share by a hash. More make collisions rarer and trees slower.
-HASH_SLOTS = 128
 
 # Searched ranges as (low, high, scale).
 SEARCH_RANGES = {
@@ -61,12 +63,12 @@ class FeatureRoles:
         known = cols if self.known_in_advance is None else self.known_in_advance
         return [c for c in cols if c in known and c not in reserved]
 
-    def stages(self, slots: int = HASH_SLOTS) -> list:
-        """Hashed one-hot encoding of the categorical columns, then one vector. Nothing is fitted, so no list
-        of values, however long, reaches the driver."""
+    def stages(self, rows: DataFrame) -> list:
+        """One-hot encoding of the categorical columns, a slot for each value that ``rows`` have, then one vector. The
+        values stay in a distributed dictionary; the driver knows how many there are."""
         stages, inputs = [], list(self.usable(self.numeric))
         for c in self.usable(self.categorical):
-            stages.append(FeatureHasher(inputCols=[c], categoricalCols=[c], outputCol=f"{c}_hot", numFeatures=slots))
+            stages += one_hot_stages(rows, c)
             inputs.append(f"{c}_hot")
         return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
@@ -87,7 +89,7 @@ def model_rows(
 ) -> DataFrame:
     """Demand rows with every feature that is known ``horizon`` steps ahead, incomplete rows dropped.
 
-    ``area`` is the series id as text; the model encodes it as a vector, which holds any number of ids.
+    ``area`` is the series id as text; the model encodes it as a sparse vector with a slot for each id.
     """
     made = add_cyclic(add_target_features(demand.select(time, id, target), horizon, id=id, time=time, target=target), time)
     return made.withColumn("area", F.col(id).cast("string")).dropna(subset=feature_columns(made))
@@ -120,6 +122,19 @@ def best_round(errors: list[float], patience: int = STOP_AFTER) -> int:
     return best + 1
 
 
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first n trees. Boosting adds trees one by one, so this is the model of n rounds."""
+    made = model._java_obj
+    trees = list(made.trees())[:n]
+    gateway = SparkSession.active()._sc._gateway
+    array = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        array[i], weights[i] = tree, model.treeWeights[i]
+    short = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(made.uid(), array, weights, model.numFeatures)
+    return GBTRegressionModel(short)
+
+
 @contextmanager
 def kept(rows: DataFrame):
     """Keeps the rows on the executors (memory, else disk) while several jobs read them."""
@@ -138,7 +153,7 @@ def train(
     target: str = "trip_count", roles: FeatureRoles | None = None,
 ) -> PipelineModel:
     """Fits on the rows before ``train_end``; the error on those up to ``val_end``, round by round, decides how
-    many trees are kept (``best_round``); fewer than fitted are fitted again, which gives the same first trees.
+    many trees are kept (``best_round``): the first ones of the fit.
 
     ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults.
     """
@@ -148,14 +163,12 @@ def train(
     regressor = _regressor(params or {}, target)
     with kept(rows):
         sides = split_by_date(rows, train_end, val_end, time, check=True)
-        encode = Pipeline(stages=roles.stages()).fit(rows.limit(0))
+        encode = PipelineModel(roles.stages(sides.where("split = 'train'")))
         ready = encode.transform(sides).select("split", target, "features")
         with kept(ready.where("split = 'train'")) as learned:
             model = regressor.fit(learned)
             errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
-            keep = best_round(errors)
-            if keep < len(errors):
-                model = regressor.copy({regressor.maxIter: keep}).fit(learned)
+            model = first_trees(model, best_round(errors))
     return PipelineModel([*encode.stages, model])
 
 
@@ -163,9 +176,15 @@ def model_inputs(model: PipelineModel) -> list[str]:
     """The columns a fitted model reads."""
     made, inputs = set(), []
     for stage in model.stages[:-1]:
-        inputs += [c for c in stage.getInputCols() if c not in made]
-        made.add(stage.getOutputCol())
-    return inputs
+        if isinstance(stage, SQLTransformer):
+            column, slot, _, _ = look_up_parts(stage)
+            inputs.append(column)
+            made.add(slot)
+        elif isinstance(stage, OneHotEncoderModel):
+            made.add(stage.getOutputCol())
+        else:
+            inputs += [c for c in stage.getInputCols() if c not in made]
+    return list(dict.fromkeys(inputs))
 
 
 def predict(
@@ -214,7 +233,8 @@ def run_trials(
         try:
             model = train(rows, train_end, val_end, params, time, target)
             outcome = ("SUCCEEDED", float(validation_rmse(model, rows, train_end, val_end, time, target)))
-        except Exception as error:  # recorded, the other trials go on
+        # What Spark or the data refuse is recorded and the other trials go on; an error of this code isn't.
+        except (PySparkException, Py4JError, ValueError) as error:
             outcome = (f"FAILED: {type(error).__name__}", None)
         return (trial["trial_id"], *[trial[c] for c in names], *outcome)
 
@@ -234,22 +254,42 @@ def best_trial(trials: DataFrame, goal: str = "MINIMIZE", metric: str = "rmse")
     return best
 
 
-def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """(feature, importance), largest first, per column the model reads: a categorical one has the sum of its
-    hashed columns."""
-    sizes = {s.getOutputCol(): (s.getInputCols()[0], s.getNumFeatures()) for s in model.stages[:-2]}
+def feature_importance(model: PipelineModel, rows: DataFrame, per_value: bool = False) -> DataFrame:
+    """(feature, importance), largest first, per column the model reads. A categorical one has the sum over its values;
+    with ``per_value`` each of them has a row ``column=value``, and all that the model doesn't know one ``column=``.
+    The values come from the dictionary and not through the driver."""
+    spark = rows.sparkSession
+    encoded = {f"{c}_hot": (c, path, n) for c, _, path, n in (look_up_parts(s) for s in model.stages if isinstance(s, SQLTransformer))}
     scores = model.stages[-1].featureImportances.toArray()
-    pairs, at = [], 0
+    pairs, wide, at = [], [], 0
     for c in model.stages[-2].getInputCols():
-        name, size = sizes.get(c, (c, 1))
-        pairs.append((name, float(scores[at : at + size].sum())))
-        at += size
-    spark = rows.sparkSession
-    return spark.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+        name, path, n = encoded.get(c, (c, None, 0))
+        part = scores[at : at + n + 1]
+        at += n + 1
+        if path is None or not per_value:
+            pairs.append((name, float(part.sum())))
+            continue
+        found = spark.createDataFrame([(k, float(x)) for k, x in enumerate(part[:n]) if x > 0], "slot bigint, importance double")
+        known = read_dictionary(spark, path).join(found, "slot", "left")
+        wide.append(known.select(F.concat(F.lit(f"{name}="), "value").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("importance")))
+        pairs.append((f"{name}=", float(part[n])))
+    out = spark.createDataFrame(pairs, "feature string, importance double")
+    for more in wide:
+        out = out.unionByName(more)
+    return out.orderBy(F.desc("importance"), "feature")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Writes the model and, next to it, the dictionaries that it reads."""
+    spark, stages = SparkSession.active(), []
+    for stage in model.stages:
+        if isinstance(stage, SQLTransformer):
+            column, slot, source, n = look_up_parts(stage)
+            target = f"{path.rstrip('/')}-dictionaries/{uuid.uuid4().hex}"
+            read_dictionary(spark, source).write.parquet(target)
+            stage = look_up_stage(column, slot, target, n)
+        stages.append(stage)
+    PipelineModel(stages).write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:

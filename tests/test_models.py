@@ -3,9 +3,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from demand_engine.sources.tables import read_table
+from demand_engine.operators import encoding
 from demand_engine.plans import training
 from demand_engine.plans.run import Settings, run_forecasting
+from demand_engine.sources.tables import read_table
 
 
 def test_trials_are_in_range_and_repeatable(spark):
@@ -36,7 +37,7 @@ def test_roles(rows):
     df = rows([("2024-01-01", 1, 5, 3, 0)], "t timestamp, id int, y int, hour int, weekend int")
     roles = training.feature_roles(df, "t", "y", "id", ["hour", "id", "y"], ["weekend"], ["hour", "weekend"])
     assert roles.usable(roles.numeric) == ["hour"]
-    assert roles.stages()[-1].getInputCols() == ["hour", "weekend_hot"]
+    assert roles.stages(df)[-1].getInputCols() == ["hour", "weekend_hot"]
     assert training.best_round([5.0, 4.0, 4.5, 3.0, *[9.0] * 9, 2.0, *[9.0] * 10, 1.0]) == 14
     assert training.best_round([5.0, *[6.0] * 10, 1.0]) == 1 and training.best_round([1.0]) == 1
     with pytest.raises(ValueError):
@@ -70,3 +71,57 @@ def test_whole_run(spark, tmp_path):
     with pytest.raises(ValueError, match="target_lag_24"):
         training.predict(model, read_table(spark, f"{out}/demand"))
     assert spark.read.csv(f"{out}/predictions", header=True).where("cast(prediction as double) < 0").count() == 0
+
+
+def test_dictionary_numbers_every_value_once(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "PIECES", 7)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 1000).alias("k"))
+    known = encoding.dictionary(df, "k").collect()
+    values = {str(k % 1000) for k in range(3000) if k % 3}
+    assert {r.value for r in known} == values and len(known) == len(values)
+    assert sorted(r.slot for r in known) == list(range(len(values)))
+    some = spark.createDataFrame([(5,), (-1,), (None,)], "k int")
+    got = {r.k: r.s for r in encoding.slots(some, "k", encoding.read_dictionary(spark, encoding.dictionary(df, "k").inputFiles()[0].rpartition("/")[0]), "s").collect()}
+    assert got[5] is not None and got[-1] is None and got[None] is None
+    assert encoding.dictionary(df.limit(0), "k").count() == 0
+
+
+def test_a_thousand_ids_are_a_thousand_features(spark, tmp_path):
+    """Two ids that a hash of a few slots would put together have opposite targets; each is learned."""
+    t = F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, h)")
+    rows = spark.range(1000).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("h")).select(
+        t.alias("t"), F.format_string("id-%04d", "id").alias("area"), F.when(F.col("id") == 500, 900.0).when(F.col("id") == 20, -900.0).otherwise(0.0).alias("y")
+    )
+    roles = training.FeatureRoles("t", "y", "", [], ["area"])
+    model = training.train(rows, "2024-01-01T03:00:00", "2024-01-02", {"n_estimators": 6, "learning_rate": 0.5, "colsample_bytree": 1.0, "subsample": 1.0}, "t", "y", roles)
+    assert training.model_inputs(model) == ["area"]
+    found = {r.feature: r.importance for r in training.feature_importance(model, rows, per_value=True).collect()}
+    assert len(found) == 1001 and "area=" in found and sum(found.values()) == pytest.approx(1)
+    assert min(found["area=id-0500"], found["area=id-0020"]) > 0.3
+    path = str(tmp_path / "model")
+    training.save_model(model, path)
+    asked = spark.createDataFrame([("id-0500",), ("id-0020",), ("id-0007",), ("new",), (None,)], "area string")
+    for m in (model, training.load_model(path)):
+        got = {r.area: r.prediction for r in m.transform(asked).collect()}
+        assert got["id-0500"] > 500 and got["id-0020"] < -500 and abs(got["id-0007"]) < 50
+        assert got["new"] == got[None] == pytest.approx(got["id-0007"])
+
+
+def test_the_first_trees_are_the_shorter_fit(spark):
+    rows = spark.range(200).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 17 * F.col("id") % 5).cast("double").alias("y"))
+    ready = training.VectorAssembler(inputCols=["x"], outputCol="features").transform(rows).persist()
+    long, short = (training._regressor({"n_estimators": n, "max_depth": 3}, "y").fit(ready) for n in (6, 3))
+    cut = training.first_trees(long, 3)
+    assert cut.getNumTrees == 3
+    assert [r.prediction for r in cut.transform(ready).collect()] == [r.prediction for r in short.transform(ready).collect()]
+    assert cut.featureImportances.toArray().tolist() == short.featureImportances.toArray().tolist()
+
+
+def test_trials_record_what_spark_refuses_and_nothing_else(spark, rows, monkeypatch):
+    table = rows([("2024-01-01", "a", 1.0, 2.0), ("2024-01-02", "a", 2.0, 3.0)], "timestamp_hour timestamp, area string, trip_count double, target_lag_1 double")
+    trials = spark.createDataFrame([("1", -5)], "trial_id string, max_depth int")
+    done = training.run_trials(table, trials, "2024-01-02", "2024-01-03").first()
+    assert done.state.startswith("FAILED") and done.rmse is None
+    monkeypatch.setattr(training, "train", lambda *a: {}["bug"])
+    with pytest.raises(KeyError):
+        training.run_trials(table, trials, "2024-01-02", "2024-01-03")
