@@ -1,6 +1,11 @@
 import hashlib
+import random
+from collections import Counter, defaultdict
 
-from demand_engine.llm.exact_dedup import candidates, mark_duplicates
+import pytest
+
+from demand_engine.llm import exact_dedup
+from demand_engine.llm.exact_dedup import candidates, duplicate_groups, mark_duplicates
 
 SCHEMA = "doc_id bigint, text string, n_bytes string, text_sha256 string"
 
@@ -44,3 +49,32 @@ def test_repeated_rows_keep_one(spark):
 
 def test_empty(spark):
     assert mark_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_text_on_a_third_of_the_rows_and_very_long_texts(spark, monkeypatch, broadcast):
+    """Against brute force, with the crowded keys broadcast and joined."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_KEYS", broadcast)
+    rng = random.Random(4)
+    long = "Long " * 200_000
+    texts = ["Hot text"] * 200 + [rng.choice("ab") * rng.randint(1, 40) for _ in range(300)] + [long, long.upper(), long + "x", long + "y"] * 2
+    rng.shuffle(texts)
+    rows = [(rng.randint(0, 400), t) for t in texts]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t.lower()].append(i)
+    got = mark_duplicates(df).collect()
+    want = Counter((i, max(groups[t.lower()]), len(groups[t.lower()]), hashlib.sha256(t.lower().encode()).hexdigest()) for i, t in rows)
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len(groups) and all(r.doc_id == r.keep_id for r in kept)
+    several = {r.text_sha256: (r.keep_id, r.group_size) for r in duplicate_groups(df).collect()}
+    assert several == {hashlib.sha256(t.encode()).hexdigest(): (max(ids), len(ids)) for t, ids in groups.items() if len(ids) > 1}
+
+
+def test_documents_are_scanned_twice_and_texts_not_shuffled(spark, capsys):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mark_duplicates(documents).explain()
+    plan = capsys.readouterr().out
+    assert "documents.parquet" not in plan and "Window" not in plan
