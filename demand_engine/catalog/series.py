@@ -18,6 +18,8 @@ from demand_engine.fixtures import AREAS
 from demand_engine.operators import features as feats
 from demand_engine.operators import series
 from demand_engine.plans.forecast import future_features
+from demand_engine.session import shared_folder
+from demand_engine.sources.series import read_series, write_series
 
 _W = "OVER (PARTITION BY pickup_community_area ORDER BY timestamp_hour"
 _LAGS = ", ".join(f"lag(trip_count, {k}) {_W}) AS target_lag_{k}" for k in series.LAGS)
@@ -34,6 +36,13 @@ def _demand(spark, sf_dir):
     return demand(spark, sf_dir).select("timestamp_hour", "pickup_community_area", "trip_count")
 
 
+def _stored(spark, sf_dir):
+    """The demand table stored by series, and read again."""
+    folder = shared_folder(spark, "series")
+    write_series(_demand(spark, sf_dir), folder)
+    return read_series(spark, folder)
+
+
 _KEYS = "timestamp_hour, pickup_community_area, trip_count"
 
 
@@ -42,6 +51,12 @@ def lags(spark, sf_dir):
     return out(series.add_lags(_demand(spark, sf_dir)))
 
 
+@register("features_of_stored_series", DEMAND + f" SELECT {_KEYS}, {_LAGS}, {_rolls(1)} FROM demand")
+def features_of_stored_series(spark, sf_dir):
+    """Lags and rolling means on the layout of the files, without a shuffle."""
+    return out(series.add_rolling_means(series.add_lags(_stored(spark, sf_dir))))
+
+
 @register("lags_in_pieces", DEMAND + f" SELECT {_KEYS}, {_LAGS}, {_rolls(1)} FROM demand")
 def lags_in_pieces(spark, sf_dir):
     """Series cut into pieces of 240 steps, each worked on by its own task."""
@@ -62,19 +77,29 @@ def seasonal_naive(spark, sf_dir):
     return out(series.seasonal_naive(_demand(spark, sf_dir), 24))
 
 
-@register(
-    "context_windows",
+_CONTEXT = (
     DEMAND
     + f""", w AS (SELECT timestamp_hour, pickup_community_area,
       list(trip_count) {_W} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS context,
       list(trip_count) {_W} ROWS BETWEEN 1 FOLLOWING AND 24 FOLLOWING) AS future FROM demand)
     SELECT timestamp_hour, pickup_community_area, array_to_string(context, ',') AS context, array_to_string(future, ',') AS future
-    FROM w WHERE len(context) = 168 AND len(future) = 24""",
+    FROM w WHERE len(context) = 168 AND len(future) = 24"""
 )
+
+
+def _context(rows):
+    made = series.context_windows(rows)
+    return out(made.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("context", "future")}))
+
+
+@register("context_windows", _CONTEXT)
 def context_windows(spark, sf_dir):
-    made = series.context_windows(_demand(spark, sf_dir))
-    as_text = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("context", "future")}
-    return out(made.withColumns(as_text))
+    return _context(_demand(spark, sf_dir))
+
+
+@register("context_of_stored_series", _CONTEXT)
+def context_of_stored_series(spark, sf_dir):
+    return _context(_stored(spark, sf_dir))
 
 
 @register(
