@@ -1,11 +1,14 @@
 """Registered queries that run a stream over the events until it has read everything."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from demand_engine import fixtures
 from demand_engine.catalog.common import TRIPS, out, register
 from demand_engine.operators.demand import distinct_ids
 from demand_engine.session import cut_lineage, shared_folder, use_utc
+from demand_engine.sources.committed import CommittedTable
 from demand_engine.streaming import hourly
 from demand_engine.streaming.copy import incremental_copy, read_copy
 
@@ -101,3 +104,29 @@ def stream_filled_demand(spark, sf_dir):
         counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir, landed))
         hourly.stream_filled_demand(counts, ids, f"{folder}/table", f"{folder}/checkpoint")
     return out(spark.read.parquet(f"{folder}/table").drop("batch_id"))
+
+
+@register(
+    "closed_by_the_clock",
+    TRIPS
+    + """, seen AS (SELECT trip_start_timestamp, pickup_community_area FROM trips WHERE pickup_community_area IS NOT NULL AND trip_start_timestamp IS NOT NULL),
+  counts AS (SELECT date_trunc('hour', trip_start_timestamp) AS timestamp_hour, pickup_community_area, count(*) AS trip_count FROM seen GROUP BY 1, 2),
+  hours AS (SELECT unnest(generate_series((SELECT min(timestamp_hour) FROM counts),
+    (SELECT date_trunc('hour', max(trip_start_timestamp) + INTERVAL 5 HOUR) FROM seen), INTERVAL 1 HOUR)) AS timestamp_hour),
+  areas AS (SELECT DISTINCT pickup_community_area FROM seen)
+  SELECT h.timestamp_hour, a.pickup_community_area, coalesce(c.trip_count, 0) AS trip_count FROM hours h CROSS JOIN areas a
+  LEFT JOIN counts c ON c.timestamp_hour = h.timestamp_hour AND c.pickup_community_area = a.pickup_community_area""",
+)
+def closed_by_the_clock(spark, sf_dir):
+    """All events are counted; then the clock alone closes their hours and idle ones after them, in two steps and a repeat."""
+    folder = shared_folder(spark, "clock")
+    for landed in _landing(spark, sf_dir):
+        pass
+    counts = hourly.stream_hourly_demand(_trip_stream(spark, sf_dir, landed))
+    hourly.write_running_counts(counts, f"{folder}/counts", f"{folder}/checkpoint")
+    table = CommittedTable(spark, f"{folder}/table")
+    last = fixtures.trips(spark, sf_dir).where("pickup_community_area is not null").agg(F.max("trip_start_timestamp")).first()[0]
+    if last is not None:
+        for hours in (-100, 8, 8):
+            hourly.close_steps(spark, f"{folder}/counts", table, str(last + timedelta(hours=hours)), "2 hours")
+    return out(table.read())

@@ -119,13 +119,14 @@ class CommittedTable:
         entry, _ = self._write(df, batch or uuid.uuid4().hex)
         return self._commit(state, [entry], None)["version"]
 
-    def append(self, df: DataFrame, batch: str) -> bool:
-        """Adds a batch; False, without reading ``df``, if one of that id is in the table."""
+    def append(self, df: DataFrame, batch: str, mark: str | None = None) -> bool:
+        """Adds a batch, and a mark of how far the table has come, if one is given; False, without reading ``df``, if a
+        batch of that id is in the table."""
         state = self.state()
         if any(b["id"] == batch for b in state["batches"]):
             return False
         entry, _ = self._write(df, batch)
-        self._commit(state, [*state["batches"], entry], state["mark"])
+        self._commit(state, [*state["batches"], entry], mark or state["mark"])
         return True
 
     def append_missing(self, src: DataFrame, batch: str | None = None) -> int:

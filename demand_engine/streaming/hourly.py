@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from demand_engine.functions.calendar import step_interval
-from demand_engine.operators.demand import fill_counts, grid
+from demand_engine.functions.calendar import step_interval, timestamp_literal
+from demand_engine.operators.demand import distinct_ids, fill_counts, grid
+from demand_engine.sources.committed import CommitConflict, CommittedTable
 
 
 def stream_hourly_demand(
@@ -172,3 +176,55 @@ def stream_filled_demand(
         .start()
         .awaitTermination()
     )
+
+
+def close_steps(
+    spark: SparkSession,
+    path: str,
+    table: CommittedTable,
+    now: datetime | str,
+    delay: str = "2 hours",
+    id: str = "pickup_community_area",
+    step: str = "hour",
+    out_time: str = "timestamp_hour",
+    target: str = "trip_count",
+) -> int:
+    """Closes by the clock: appends to ``table`` every step that ended ``delay`` before ``now`` and isn't there yet, for all
+    ids in the running counts at ``path`` (``write_running_counts``), 0 where nothing happened; how many steps.
+
+    No later event is needed, and nothing but counted rows is read. A range of steps is one commit together with its
+    last step, so a repeated or broken call closes each step exactly once. What is counted into a step after it was closed
+    isn't added any more."""
+    counts = read_running_counts(spark, path, id, out_time, target)
+    mark = table.state()["mark"]
+    start = counts.agg(F.min(out_time)) if mark is None else spark.range(1).select(timestamp_literal(mark) + step_interval(step))
+    end = F.date_trunc(step, timestamp_literal(str(now)) - F.expr(f"interval {delay}")) - step_interval(step)
+    first, last = start.toDF("first").select("first", end.alias("last")).select(F.date_format("first", _TIME), F.date_format("last", _TIME)).first()
+    if first is None or first > last:
+        return 0
+    low, high = timestamp_literal(first), timestamp_literal(last)
+    cells = grid(distinct_ids(counts, id), low, high, id, step, out_time)
+    inside = counts.where(F.col(out_time).between(low, high))
+    try:
+        table.append(fill_counts(cells, inside, out_time, id, target), f"until {last}", mark=last)
+    except CommitConflict:
+        return 0  # another clock has closed them
+    return spark.range(1).select(F.size(F.sequence(low, high, step_interval(step)))).first()[0]
+
+
+_TIME = "yyyy-MM-dd HH:mm:ss"
+
+
+def close_on_clock(
+    spark: SparkSession, path: str, table: CommittedTable, checkpoint: str, every: str = "1 minute", delay: str = "2 hours", **columns: str
+) -> StreamingQuery:
+    """A stream of ticks of the clock that calls ``close_steps``: idle series close while no event comes. Stop the query
+    to end it."""
+
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        now = batch.agg(F.date_format(F.max("timestamp"), _TIME)).first()[0]
+        if now is not None:
+            close_steps(batch.sparkSession, path, table, now, delay, **columns)
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -127,3 +127,50 @@ def test_an_id_first_seen_in_the_stream_is_kept(spark, land, tmp_path):
 def test_watermark_needs_no_zoned_input(spark, land):
     counts = hourly.stream_hourly_demand(read_stream(spark, land(("00:10:00", 1))).withColumn("trip_start_timestamp", F.col("trip_start_timestamp").cast("timestamp_ntz")))
     assert counts.isStreaming and dict(counts.dtypes)["timestamp_hour"] == "timestamp"
+
+
+def test_idle_hours_close_by_the_clock(spark, land, tmp_path):
+    from demand_engine.sources.committed import CommittedTable
+
+    folder, out = land(("00:10:00", 1), ("02:10:00", 2), ("02:20:00", 2)), str(tmp_path / "o")
+    hourly.write_running_counts(hourly.stream_hourly_demand(read_stream(spark, folder)), out, str(tmp_path / "c"))
+    closed = CommittedTable(spark, str(tmp_path / "closed"))
+
+    def close(now):
+        return hourly.close_steps(spark, out, closed, f"2024-01-01 {now}", "1 hour")
+
+    assert close("01:59:59") == 0
+    assert close("02:00:00") == 1 and table(closed.read()) == {(0, 1): 1, (0, 2): 0}
+    # No further event comes; a broken commit leaves nothing behind, a repeated call adds nothing.
+    commit = CommittedTable._commit
+    CommittedTable._commit = lambda self, *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        with pytest.raises(RuntimeError):
+            close("06:30:00")
+    finally:
+        CommittedTable._commit = commit
+    assert close("06:30:00") == 4 and close("06:30:00") == 0 and close("05:00:00") == 0
+    want = {(h, a): 0 for h in range(5) for a in (1, 2)} | {(0, 1): 1, (2, 2): 2}
+    assert table(closed.read()) == want and closed.read().count() == len(want)
+    land(("04:00:00", 1), ("05:30:00", 3))
+    hourly.write_running_counts(hourly.stream_hourly_demand(read_stream(spark, folder)), out, str(tmp_path / "c"))
+    assert close("07:00:00") == 1
+    assert table(closed.read()) == want | {(5, 1): 0, (5, 2): 0, (5, 3): 1}
+
+
+def test_a_stream_of_ticks_closes(spark, land, tmp_path):
+    import time
+
+    from demand_engine.sources.committed import CommittedTable
+
+    folder, out = land(("00:10:00", 1)), str(tmp_path / "o")
+    hourly.write_running_counts(hourly.stream_hourly_demand(read_stream(spark, folder)), out, str(tmp_path / "c"))
+    closed = CommittedTable(spark, str(tmp_path / "closed"))
+    query = hourly.close_on_clock(spark, out, closed, str(tmp_path / "clock"), "1 second", "400 days", step="day", out_time="timestamp_hour")
+    until = time.time() + 60
+    while not closed.state()["batches"] and time.time() < until:
+        time.sleep(1)
+    query.stop()
+    got = closed.read()
+    assert got.count() == got.select("timestamp_hour").distinct().count() > 300
+    assert got.agg(F.sum("trip_count")).first()[0] == 1
