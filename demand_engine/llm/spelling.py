@@ -68,14 +68,15 @@ def vocabulary(words: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MI
     return counted.where(F.col("n") >= min_count)
 
 
-def frequency_vector(word: Column) -> Column:
-    return F.array(*[F.char_length(word) - F.char_length(F.translate(word, g, "")) for g in LEVELS])
+def frequency(level: int) -> Column:
+    """How many letters of the level's group ``word`` has."""
+    return F.char_length("word") - F.char_length(F.translate("word", LEVELS[level], ""))
 
 
 def _one_level(entries: DataFrame, level: int) -> DataFrame:
     """``entries`` (``node, more, less`` besides the word) one level further down: as many of that letter group, one
     more against the surplus, one fewer against the deficit."""
-    c, node = F.col("v")[level], F.col("node")
+    c, node = F.col("c"), F.col("node")
 
     def child(count, more, less):
         return F.struct(F.concat(node, F.array(count)).alias("node"), more.alias("more"), less.alias("less"))
@@ -85,7 +86,8 @@ def _one_level(entries: DataFrame, level: int) -> DataFrame:
         F.when(F.col("more") > 0, child(c + 1, F.col("more") - 1, F.col("less"))),
         F.when((F.col("less") > 0) & (c > 0), child(c - 1, F.col("more"), F.col("less") - 1)),
     )
-    return entries.withColumn("way", F.explode(F.array_compact(ways))).select("word", "n", "v", "way.*")
+    counted = entries.withColumn("c", frequency(level))
+    return counted.withColumn("way", F.explode(F.array_compact(ways))).select("word", "n", "way.*")
 
 
 class Trie:
@@ -227,11 +229,11 @@ def _search_block(table: pa.Table) -> pa.Table:
 
 
 def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Members and searchers of the shards: ``node, word, n`` each. ``words`` has ``word, n, v``."""
+    """Members and searchers of the shards: ``node, word, n`` each. ``words`` has ``word, n``."""
     depth = FIRST_LEVELS
-    inside = words.withColumn("node", F.slice("v", 1, depth))
+    inside = words.select("word", "n", F.array(*map(frequency, range(depth))).alias("node"))
     searching = words.select(
-        "word", "n", "v", F.array().cast("array<int>").alias("node"), F.lit(1).alias("more"), F.lit(1).alias("less")
+        "word", "n", F.array().cast("array<int>").alias("node"), F.lit(1).alias("more"), F.lit(1).alias("less")
     )
     for level in range(depth):
         searching = _one_level(searching, level)
@@ -244,7 +246,7 @@ def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame,
         searchers.append(searching.join(closed, "node", "left_semi").select("node", "word", "n"))
         if open_nodes.isEmpty():
             break
-        deeper = inside.join(open_nodes, "node", "left_semi").withColumn("node", F.slice("v", 1, depth + 1))
+        deeper = inside.join(open_nodes, "node", "left_semi").withColumn("node", F.concat("node", F.array(frequency(depth))))
         further = _one_level(searching.join(open_nodes, "node", "left_semi"), depth)
         inside, searching = cut_lineage(deeper, "spelling-inside"), cut_lineage(further, "spelling-searching")
         depth += 1
@@ -256,8 +258,7 @@ def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame,
 
 def near_words(vocabulary: DataFrame, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``word, n_near, best, best_n`` of the words of ``word, n`` that have near words; best is the most frequent."""
-    words = cut_lineage(vocabulary.select("word", "n", frequency_vector(F.col("word")).alias("v")), "spelling-words")
-    members, searchers = shards(words, shard_words)
+    members, searchers = shards(vocabulary, shard_words)
     searchers = cut_lineage(searchers, "spelling-searchers")
     blocks = searchers.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / block_words).cast("int").alias("blocks"))
     blocks = cut_lineage(blocks, "spelling-blocks")

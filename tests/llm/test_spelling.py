@@ -3,7 +3,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from demand_engine.llm import spelling
 
@@ -57,7 +56,6 @@ def test_against_brute_force(spark, shard_words, block_words):
 def test_shards_are_bounded_and_hold_each_word_once(spark):
     counts = words_of(2, 40)
     words = spark.createDataFrame(list(counts.items()), "word string, n bigint")
-    words = words.withColumn("v", spelling.frequency_vector(F.col("word")))
     members, searchers = spelling.shards(words, 30)
     rows = members.collect()
     assert Counter(r.word for r in rows) == Counter(counts.keys())
