@@ -4,14 +4,16 @@ import base64
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import tiktoken
 
 from demand_engine.llm import queries, token_counts
 from tests.llm.conftest import SF_DIR
+from tests.oracle import compare, connect
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 def test_token_counts_over_the_whole_table(spark):
@@ -36,3 +38,10 @@ def test_held_out_toxicity(spark):
     known = [(r.predicted, labels[r.doc_id]) for r in got if r.doc_id in labels]
     assert np.mean([p == t for p, t in known]) > 0.95
     assert np.mean([p for p, t in known if t]) > 0.9
+
+
+@pytest.mark.parametrize("name", ["op7_line_dedup", "op10_mixing"])
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_sql_states_the_rule_at_every_size(spark, name, size):
+    sf_dir = f"/root/testdata/{size}"
+    assert compare(connect(sf_dir), queries.QUERIES[name](spark, sf_dir), queries.ORACLES[name]) == ""
