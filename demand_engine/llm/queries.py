@@ -68,26 +68,28 @@ def op2_warc(spark, sf_dir):
 
 @register("op3_token_counts")
 def op3_token_counts(spark, sf_dir):
-    """Estimates first, exact counts as revisions, then exact copies deleted; the revisions are delivered twice."""
+    """Estimates first, exact counts as revisions, then exact copies deleted; the revisions are delivered twice.
+    Documents without id, which nothing can revise, come with their exact counts."""
     documents = table(spark, sf_dir, "documents")
     estimate = F.ceil(F.coalesce(F.char_length("text"), F.lit(0)) / 4)
     version = F.lit(token_counts.VERSION).alias("tokenizer")
 
     def change(rows, op, tokens):
-        return rows.select("doc_id", "source", "lang", version, F.lit(op).alias("op"), tokens.cast("bigint").alias("tokens"), F.lit(0).alias("seq"))
+        return rows.select("doc_id", "source", "lang", version, op.alias("op"), tokens.cast("bigint").alias("tokens"), F.lit(0).alias("seq"))
 
     rollup = token_counts.Rollup(spark, shared_folder(spark, "token-counts"))
-    rollup.apply("inserts", change(documents, "insert", estimate))
+    named = F.col("doc_id").isNotNull()
+    rollup.apply("inserts", change(documents.where(named), F.lit("insert"), estimate))
     counted = cut_lineage(token_counts.count_tokens(documents), "token-counts")
     for _ in range(2):
-        rollup.apply("revisions", change(counted, "revise", F.col("tokens")))
+        rollup.apply("revisions", change(counted, F.when(named, "revise").otherwise("insert"), F.col("tokens")))
     copies = documents.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("_keep"), F.count(F.lit(1)).alias("n"))
     extra = (
         documents.select("doc_id", "source", "lang", F.sha2("text", 256).alias("h"))
         .join(copies.where("n > 1 and h is not null"), "h")
         .where("doc_id <> _keep")
     )
-    rollup.apply("deletes", change(extra, "delete", F.lit(None)))
+    rollup.apply("deletes", change(extra, F.lit("delete"), F.lit(None)))
     rollup.compact()
     return rollup.totals()
 
