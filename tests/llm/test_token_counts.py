@@ -1,5 +1,6 @@
 import base64
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -56,7 +57,8 @@ def test_a_small_batch_reads_few_folders_of_the_ledger(spark):
     assert (n, len(touched)) == (1, 1)
     assert rollup._ledger_rows().select(F.input_file_name()).distinct().count() > 25
     some = rollup._ledger_rows(touched).select(F.input_file_name())
-    assert "PartitionFilters: [bucket" in some._jdf.queryExecution().toString() and some.distinct().count() <= 2
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", some._jdf.queryExecution().toString())
+    assert some.distinct().count() <= 2
     assert rollup.ledger(touched).where("doc_id = 7").count() == 1
     rollup.apply("one", one)
     assert totals(rollup) == {("a", "en", "t"): (322, 322), ("b", "en", "t"): (1, 5)}
