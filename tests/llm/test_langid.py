@@ -1,9 +1,12 @@
+import math
 import random
+import zlib
 
 import numpy as np
+import regex
 from pyspark.sql import functions as F
 
-from demand_engine.llm import langid, shingles, svm
+from demand_engine.llm import langid, queries, shingles, svm
 from tests.llm.conftest import SF_DIR
 
 
@@ -27,8 +30,6 @@ def test_held_out_accuracy(spark):
 
 
 def test_held_out_rule(spark):
-    import zlib
-
     got = spark.range(200).select("id", langid.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
 
@@ -54,6 +55,55 @@ def test_whole_text_counts(spark):
         assert abs(got[k] - max(sure, 1 - sure)) < 1e-4
 
 
+def plain_prediction(model, text):
+    """Language and score of one text, n-gram by n-gram and machine by machine."""
+    if text is None or not regex.search(r"\p{L}", text):
+        return "und", 0.0
+    kept = bytearray()
+    for byte in text.lower().encode():
+        letter = 97 <= byte <= 122 or byte >= 128
+        if letter or not kept or kept[-1] != 32:
+            kept.append(byte if letter else 32)
+    odd, full = 2654435761, 1 << 32
+    total, n = [0.0] * model.weights.shape[1], 0
+    for order in (2, 3, 4):
+        for start in range(len(kept) - order + 1):
+            value = order * 977
+            for byte in kept[start : start + order]:
+                value = (value * 257 + byte) * odd % full
+            place = ((value ^ (value >> 15)) * odd % full) >> 20
+            total = [t + float(w) for t, w in zip(total, model.weights[place])]
+            n += 1
+    margins = [t / max(n, 1) + float(b) for t, b in zip(total, model.bias)]
+    chance = [1 / (1 + math.exp(-2 * min(30, max(-30, m)))) for m in margins]
+    many = len(model.names) > 1
+    best = max(range(len(model.names)), key=lambda f: margins[f]) if many else 0
+    codes, first = model.families[model.names[best]], len(model.names) * many
+    votes, weakest = dict.fromkeys(codes, 0.0), dict.fromkeys(codes, 1.0)
+    for k, (a, b) in enumerate(model.pairs):
+        if a in codes:
+            p = chance[first + k]
+            votes[a if p >= 0.5 else b] += 1
+            votes[a], votes[b] = votes[a] + p / 1000, votes[b] + (1 - p) / 1000
+            weakest[a], weakest[b] = min(weakest[a], p), min(weakest[b], 1 - p)
+    won = max(codes, key=lambda c: votes[c])
+    return won, (chance[best] if many else 1.0) * weakest[won]
+
+
+def test_query_equals_brute_force(spark):
+    """Every row of the query, over the whole table, against a plain reading of the method."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = queries.QUERIES["op1_language_id"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        lang, score = plain_prediction(model, texts[r.doc_id])
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4
+
+
 def test_edge_rows_and_clashing_columns(spark):
     rows = [
         (1, "the cat sat on the mat and then the dog ran", "en", "x"), (2, "der hund und die katze sind nicht hier", "de", "x"),
