@@ -11,6 +11,9 @@ Scoring reads every whole text in one pass without a shuffle. Forward and backwa
 block at once, as scans of 2x2 matrices in which a text's first token forgets what was before. A document's
 score is its largest marginal; spans are runs of tokens whose marginal is at least 0.5, with character offsets.
 
+With few labelled documents, forms of rare languages are not learned: from 45 toxic ones recall is about 0.7 (held out,
+scale factor 0.01), from those of scale factor 0.1 it is 0.94.
+
 Defined results: a null or empty text, or one without letters, has score 0 and no span, as has every text if
 either label is missing from the sample; a document labelled twice counts as toxic if one label says so; null
 labels and ids aren't learned; rows that repeat an id are scored each; an empty table gives an empty result;

@@ -1,10 +1,12 @@
 import itertools
+import math
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from demand_engine.llm import toxicity
+from demand_engine.llm import queries, toxicity
 from demand_engine.llm.langid import held_out
 from demand_engine.llm.toxicity import Field
 
@@ -111,3 +113,54 @@ def test_toxic_segments_over_the_bound_are_drawn_from_all_texts(spark, monkeypat
     ((places, labels),) = fitted
     drawn = places[labels.astype(bool)]
     assert len({p.tobytes() for p in drawn.reshape(len(drawn), -1)[:, :1]}) == 2
+
+
+def plain_scores(field, text, emissions):
+    """Largest marginal and toxic spans of one text, token by token; a word's features come from the word alone."""
+    words = list(re.finditer(r"[A-Za-z\u0080-\U0010ffff]+", text or ""))
+    if not words:
+        return 0.0, []
+    psi = []
+    for word in words:
+        if word.group() not in emissions:
+            data = np.frombuffer(word.group().encode(), dtype=np.uint8)
+            emissions[word.group()] = float(field.emission(toxicity.tokens(data, np.array([0, len(data)]))[3])[0])
+        psi.append((1.0, math.exp(min(30, max(-30, emissions[word.group()])))))
+    moves = [[math.exp(field.moves[a, b]) for b in (0, 1)] for a in (0, 1)]
+
+    def scaled(pair):
+        return pair[0] / sum(pair), pair[1] / sum(pair)
+
+    ahead = [scaled([math.exp(field.first[b]) * psi[0][b] for b in (0, 1)])]
+    for here in psi[1:]:
+        ahead.append(scaled([sum(ahead[-1][a] * moves[a][b] for a in (0, 1)) * here[b] for b in (0, 1)]))
+    behind = [(1.0, 1.0)]
+    for after in psi[:0:-1]:
+        behind.append(scaled([sum(moves[a][b] * after[b] * behind[-1][b] for b in (0, 1)) for a in (0, 1)]))
+    p = [scaled((x[0] * y[0], x[1] * y[1]))[1] for x, y in zip(ahead, reversed(behind))]
+    spans = []
+    for t, word in enumerate(words):
+        if p[t] >= 0.5:
+            if t and p[t - 1] >= 0.5:
+                spans[-1] = (spans[-1][0], word.end())
+            else:
+                spans.append((word.start(), word.end()))
+    return max(p), spans
+
+
+def test_query_equals_brute_force(spark):
+    """Every score and every span of the query, over the whole table, against token-by-token passes."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    field = toxicity.learn(docs, labels.where(~held_out(F.col("doc_id"))))
+    assert field.weights.any()
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = queries.QUERIES["op5_toxicity"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    emissions, n_spans = {}, 0
+    for r in got:
+        score, spans = plain_scores(field, texts[r.doc_id], emissions)
+        assert abs(r.score - score) < 1e-3 and r.predicted == (r.score >= 0.5)
+        assert [(x.start, x.end) for x in r.spans] == spans
+        n_spans += len(spans)
+    assert n_spans > 0
