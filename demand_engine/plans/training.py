@@ -36,6 +36,9 @@ DEFAULTS = {
 }
 SEED = 42
 STOP_AFTER = 10
+#: Rows a task of a fit has on average at least. A fit runs two stages for each level of each tree, so on few rows the
+#: number of tasks, not the work in them, decides how long it takes.
+ROWS_PER_TASK = 10_000
 
 # Searched ranges as (low, high, scale).
 SEARCH_RANGES = {
@@ -148,6 +151,30 @@ def kept(rows: DataFrame):
             rows.unpersist()
 
 
+def dealt(ready: DataFrame, n: int) -> DataFrame:
+    """n encoded rows in as many partitions as that number needs (``ROWS_PER_TASK``), at most those of a shuffle. They
+    are dealt and sorted by what they hold, so a fit doesn't depend on how they lay before."""
+    spark = ready.sparkSession
+    wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    needed = min(wide, max(1, math.ceil(n / ROWS_PER_TASK)))
+    # Vectors have a hash and no order.
+    return ready.repartition(needed, F.xxhash64(*ready.columns)).sortWithinPartitions(F.xxhash64(*ready.columns))
+
+
+@contextmanager
+def encoded(rows: DataFrame, train_end, val_end, time: str, target: str, roles: FeatureRoles | None = None):
+    """``encode, ready``: the stages that encode the rows, and the encoded rows (``split``, the target, ``features``),
+    kept while fits read them."""
+    if roles is None:
+        numeric = [c for c in feature_columns(rows) if not c.startswith("area_")]
+        roles = FeatureRoles(time, target, "", numeric, ["area"])
+    with kept(rows):
+        sides = split_by_date(rows, train_end, val_end, time, check=True)
+        encode = PipelineModel(roles.stages(sides.where("split = 'train'")))
+        with kept(dealt(encode.transform(sides).select("split", target, "features"), sides.count())) as ready:
+            yield encode, ready
+
+
 def train(
     rows: DataFrame, train_end, val_end, params: dict | None = None, time: str = "timestamp_hour",
     target: str = "trip_count", roles: FeatureRoles | None = None,
@@ -157,18 +184,11 @@ def train(
 
     ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults.
     """
-    if roles is None:
-        numeric = [c for c in feature_columns(rows) if not c.startswith("area_")]
-        roles = FeatureRoles(time, target, "", numeric, ["area"])
     regressor = _regressor(params or {}, target)
-    with kept(rows):
-        sides = split_by_date(rows, train_end, val_end, time, check=True)
-        encode = PipelineModel(roles.stages(sides.where("split = 'train'")))
-        ready = encode.transform(sides).select("split", target, "features")
-        with kept(ready.where("split = 'train'")) as learned:
-            model = regressor.fit(learned)
-            errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
-            model = first_trees(model, best_round(errors))
+    with encoded(rows, train_end, val_end, time, target, roles) as (encode, ready):
+        model = regressor.fit(ready.where("split = 'train'"))
+        errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
+        model = first_trees(model, best_round(errors))
     return PipelineModel([*encode.stages, model])
 
 

@@ -125,3 +125,36 @@ def test_trials_record_what_spark_refuses_and_nothing_else(spark, rows, monkeypa
     monkeypatch.setattr(training, "train", lambda *a: {}["bug"])
     with pytest.raises(KeyError):
         training.run_trials(table, trials, "2024-01-02", "2024-01-03")
+
+
+def test_few_rows_are_fitted_in_few_tasks(spark):
+    """Whatever the number of shuffle partitions; and the fit doesn't depend on how the rows lay."""
+    t = F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, 0, h)")
+    rows = spark.range(40).select(F.col("id").cast("string").alias("area"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("h")).select(
+        t.alias("t"), "area", "h", (F.col("area").cast("int") % 7 + F.col("h") % 3).alias("y")
+    )
+    roles = training.FeatureRoles("t", "y", "", ["h"], ["area"])
+    context, before, predicted = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for wide in (64, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", wide)
+            context.setJobGroup(f"fit-{wide}", "fit")
+            model = training.train(rows.repartition(wide, "area"), "2024-01-01T08:00:00", "2024-01-02", {"n_estimators": 5, "max_depth": 3}, "t", "y", roles)
+            tracker = context.statusTracker()
+            stages = {s for j in tracker.getJobIdsForGroup(f"fit-{wide}") for s in tracker.getJobInfo(j).stageIds}
+            tasks = [info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info is not None and info.numCompletedTasks]
+            assert len(tasks) > 30 and sum(n > 4 for n in tasks) < len(tasks) / 3
+            predicted.append(sorted((r.area, r.h, r.prediction) for r in model.transform(rows).collect()))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert predicted[0] == predicted[1]
+
+
+def test_rows_of_a_fit_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
+    rows = spark.range(350).selectExpr("id", "id % 3 AS k")
+    assert [training.dealt(rows.limit(n), n).rdd.getNumPartitions() for n in (1, 100, 350)] == [1, 1, 4]
+    assert sorted(training.dealt(rows, 350).collect()) == sorted(rows.collect())
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 1)
+    assert training.dealt(rows, 350).rdd.getNumPartitions() == 8
