@@ -6,8 +6,9 @@ import math
 import random
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager, nullcontext
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark import StorageLevel, inheritable_thread_target
 from py4j.protocol import Py4JError
@@ -161,10 +162,19 @@ def dealt(ready: DataFrame, n: int) -> DataFrame:
     return ready.repartition(needed, F.xxhash64(*ready.columns)).sortWithinPartitions(F.xxhash64(*ready.columns))
 
 
+class Encoded(NamedTuple):
+    """The stages that encode rows, and the encoded rows: ``split``, the target, ``features``."""
+
+    encode: PipelineModel
+    ready: DataFrame
+
+
 @contextmanager
-def encoded(rows: DataFrame, train_end, val_end, time: str, target: str, roles: FeatureRoles | None = None):
-    """``encode, ready``: the stages that encode the rows, and the encoded rows (``split``, the target, ``features``),
-    kept while fits read them."""
+def encoded(
+    rows: DataFrame, train_end, val_end, time: str = "timestamp_hour", target: str = "trip_count",
+    roles: FeatureRoles | None = None,
+):
+    """Encodes the rows of both sides once and keeps them while fits read them."""
     if roles is None:
         numeric = [c for c in feature_columns(rows) if not c.startswith("area_")]
         roles = FeatureRoles(time, target, "", numeric, ["area"])
@@ -172,20 +182,21 @@ def encoded(rows: DataFrame, train_end, val_end, time: str, target: str, roles:
         sides = split_by_date(rows, train_end, val_end, time, check=True)
         encode = PipelineModel(roles.stages(sides.where("split = 'train'")))
         with kept(dealt(encode.transform(sides).select("split", target, "features"), sides.count())) as ready:
-            yield encode, ready
+            yield Encoded(encode, ready)
 
 
 def train(
     rows: DataFrame, train_end, val_end, params: dict | None = None, time: str = "timestamp_hour",
-    target: str = "trip_count", roles: FeatureRoles | None = None,
+    target: str = "trip_count", roles: FeatureRoles | None = None, sides: Encoded | None = None,
 ) -> PipelineModel:
     """Fits on the rows before ``train_end``; the error on those up to ``val_end``, round by round, decides how
     many trees are kept (``best_round``): the first ones of the fit.
 
-    ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults.
+    ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults. Several fits may
+    share ``sides``, the rows' ``encoded``.
     """
     regressor = _regressor(params or {}, target)
-    with encoded(rows, train_end, val_end, time, target, roles) as (encode, ready):
+    with nullcontext(sides) if sides else encoded(rows, train_end, val_end, time, target, roles) as (encode, ready):
         model = regressor.fit(ready.where("split = 'train'"))
         errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
         model = first_trees(model, best_round(errors))
@@ -216,9 +227,9 @@ def predict(
     return clip(model.transform(aligned).select(id, time, "prediction"), "prediction", lower=0.0)
 
 
-def validation_rmse(model: PipelineModel, rows: DataFrame, train_end, val_end, time: str, target: str) -> float:
-    held_out = split_by_date(rows, train_end, val_end, time).where("split = 'validation'")
-    return rmse(model.transform(held_out), target, "prediction").first()["rmse"]
+def validation_rmse(model: PipelineModel, sides: Encoded, target: str) -> float:
+    held_out = sides.ready.where("split = 'validation'")
+    return rmse(model.stages[-1].transform(held_out), target, "prediction").first()["rmse"]
 
 
 def sample_trials(spark: SparkSession, ranges: dict = SEARCH_RANGES, n: int = 10, seed: int = SEED) -> DataFrame:
@@ -243,23 +254,32 @@ def run_trials(
     rows: DataFrame, trials: DataFrame, train_end, val_end, parallel: int = 1, time: str = "timestamp_hour",
     target: str = "trip_count",
 ) -> DataFrame:
-    """The trials with ``state`` and ``rmse``. Every fit is a distributed job on the shared rows; a
-    trial that fails is recorded as such."""
+    """The trials with ``state`` and ``rmse``. Every fit is a distributed job on the shared rows, which are encoded
+    once; a trial that fails is recorded as such."""
     names = [c for c in trials.columns if c != "trial_id"]
     planned = trials.collect()
+    # What Spark or the data refuse is recorded and the other trials go on; an error of this code isn't.
+    refusals = (PySparkException, Py4JError, ValueError)
 
-    def run(trial) -> tuple:
-        params = {c: trial[c] for c in names}
+    def outcomes(sides: Encoded):
+        def run(trial) -> tuple:
+            try:
+                model = train(rows, train_end, val_end, {c: trial[c] for c in names}, time, target, None, sides)
+                return "SUCCEEDED", float(validation_rmse(model, sides, target))
+            except refusals as error:
+                return f"FAILED: {type(error).__name__}", None
+
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            return list(pool.map(inheritable_thread_target(trials.sparkSession)(run), planned))
+
+    with ExitStack() as held:
         try:
-            model = train(rows, train_end, val_end, params, time, target)
-            outcome = ("SUCCEEDED", float(validation_rmse(model, rows, train_end, val_end, time, target)))
-        # What Spark or the data refuse is recorded and the other trials go on; an error of this code isn't.
-        except (PySparkException, Py4JError, ValueError) as error:
-            outcome = (f"FAILED: {type(error).__name__}", None)
-        return (trial["trial_id"], *[trial[c] for c in names], *outcome)
-
-    with kept(rows), ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = list(pool.map(inheritable_thread_target(trials.sparkSession)(run), planned))
+            sides = held.enter_context(encoded(rows, train_end, val_end, time, target))
+        except refusals as error:
+            found = [(f"FAILED: {type(error).__name__}", None)] * len(planned)
+        else:
+            found = outcomes(sides)
+    done = [(t["trial_id"], *[t[c] for c in names], *outcome) for t, outcome in zip(planned, found)]
     fields = ", ".join(f"{n} {t}" for n, t in trials.dtypes)
     return trials.sparkSession.createDataFrame(done, f"{fields}, state string, rmse double")
 

@@ -158,3 +158,24 @@ def test_rows_of_a_fit_are_dealt_by_their_number(spark, monkeypatch):
     assert sorted(training.dealt(rows, 350).collect()) == sorted(rows.collect())
     monkeypatch.setattr(training, "ROWS_PER_TASK", 1)
     assert training.dealt(rows, 350).rdd.getNumPartitions() == 8
+
+
+def test_trials_share_one_encoding(spark, rows, monkeypatch):
+    """Its tables are written once, not by each trial, and the trials' errors are those of the whole model."""
+    table = rows(
+        [(f"2024-01-{d:02d}", a, float(d * k), float(d)) for d in range(1, 9) for k, a in enumerate("abc")],
+        "timestamp_hour timestamp, area string, trip_count double, target_lag_1 double",
+    )
+    made, models = [], []
+    stages, fit = training.FeatureRoles.stages, training.train
+    monkeypatch.setattr(training.FeatureRoles, "stages", lambda *a: made.append(1) or stages(*a))
+    monkeypatch.setattr(training, "train", lambda *a: models.append(fit(*a)) or models[-1])
+    trials = spark.createDataFrame([(str(k), k + 1) for k in range(3)], "trial_id string, n_estimators int")
+    done = training.run_trials(table, trials, "2024-01-06", "2024-01-09").collect()
+    assert len(made) == 1 and [r.state for r in done] == ["SUCCEEDED"] * 3
+    week = table.where("timestamp_hour >= '2024-01-06'")
+    for trial, model in zip(done, models):
+        error = training.rmse(model.transform(week), "trip_count").first()["rmse"]
+        assert trial.rmse == pytest.approx(error)
+    empty = training.run_trials(table, trials, "2023-01-06", "2024-01-09").collect()
+    assert [(r.state, r.rmse) for r in empty] == [("FAILED: ValueError", None)] * 3
