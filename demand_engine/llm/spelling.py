@@ -11,6 +11,10 @@ with the nodes of a level, and inside a shard on a sorted table of its nodes. Th
 into blocks, each with the shard's words, as a small shard may lie next to large ones. A block returns one row per
 searching word, its number of near words and the best of them, never pairs.
 
+**One way.** Of two near words with different vectors only one searches for the other: that for which the first group
+they differ in is a surplus. So a deficit is spent only after the surplus, half as many nodes are reached, and a block
+credits the pair to both words. Words with the same vector search for each other.
+
 Counts are pre-aggregated per task, so a word that a third of all texts consist of moves one row a task.
 
 Defined results: a null or empty text has no runs; words are compared by code points within A-Z, a-z and U+00C0 to
@@ -70,12 +74,14 @@ def vocabulary(words: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MI
 
 def frequency(level: int) -> Column:
     """How many letters of the level's group ``word`` has."""
+    if len(LEVELS[level]) == 1 and LEVELS[level].isascii():
+        return F.octet_length("word") - F.octet_length(F.replace("word", F.lit(LEVELS[level]), F.lit("")))
     return F.char_length("word") - F.char_length(F.translate("word", LEVELS[level], ""))
 
 
-def _one_level(entries: DataFrame, level: int) -> DataFrame:
+def _one_level(entries: DataFrame, level: int, one_way: bool) -> DataFrame:
     """``entries`` (``node, more, less`` besides the word) one level further down: as many of that letter group, one
-    more against the surplus, one fewer against the deficit."""
+    more against the surplus, one fewer against the deficit. ``one_way``: the surplus, once spent, allows the deficit."""
     c, node = F.col("c"), F.col("node")
 
     def child(count, more, less):
@@ -83,7 +89,7 @@ def _one_level(entries: DataFrame, level: int) -> DataFrame:
 
     ways = F.array(
         child(c, F.col("more"), F.col("less")),
-        F.when(F.col("more") > 0, child(c + 1, F.col("more") - 1, F.col("less"))),
+        F.when(F.col("more") > 0, child(c + 1, F.col("more") - 1, F.lit(1) if one_way else F.col("less"))),
         F.when((F.col("less") > 0) & (c > 0), child(c - 1, F.col("more"), F.col("less") - 1)),
     )
     counted = entries.withColumn("c", frequency(level))
@@ -113,13 +119,14 @@ class Trie:
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
         return np.where(keys[at] == key, at, -1)
 
-    def search(self, queries: np.ndarray):
-        """``query, word`` numbers of all words within a surplus and a deficit of one, chunk by chunk, depth first."""
+    def search(self, queries: np.ndarray, one_way: bool = False):
+        """``query, word`` numbers of all words within a surplus and a deficit of one, chunk by chunk, depth first;
+        with ``one_way`` those without a difference and those whose first difference is the surplus."""
         n_levels = self.counts.shape[1]
         for begin in range(0, len(queries), CHUNK):
             q = np.arange(begin, min(begin + CHUNK, len(queries)))
             one = np.ones(len(q), dtype=np.int8)
-            stack = [(0, q, np.zeros(len(q), dtype=np.int64), one, one)]
+            stack = [(0, q, np.zeros(len(q), dtype=np.int64), one, np.zeros_like(one) if one_way else one)]
             while stack:
                 level, q, node, more, less = stack.pop()
                 if len(q) > CHUNK:
@@ -129,7 +136,7 @@ class Trie:
                 first, last = self.first[level][node], self.last[level][node]
                 leaf = (last - first <= LEAF_WORDS) | (level == n_levels)
                 if leaf.any():
-                    yield from self._within(queries, q[leaf], first[leaf], last[leaf])
+                    yield from self._within(queries, q[leaf], first[leaf], last[leaf], one_way)
                     q, node, more, less = (x[~leaf] for x in (q, node, more, less))
                 if not len(q):
                     continue
@@ -138,10 +145,11 @@ class Trie:
                 for rows, step in ((np.arange(len(q)), 0), (np.flatnonzero(more > 0), 1), (np.flatnonzero((less > 0) & (c > 0)), -1)):
                     child = self._child(level, node[rows], c[rows] + step)
                     rows, child = rows[child >= 0], child[child >= 0]
-                    found.append((q[rows], child, more[rows] - (step > 0), less[rows] - (step < 0)))
+                    left = np.ones_like(less[rows]) if one_way and step > 0 else less[rows] - (step < 0)
+                    found.append((q[rows], child, more[rows] - (step > 0), left))
                 stack.append((level + 1, *(np.concatenate(x) for x in zip(*found))))
 
-    def _within(self, queries, q, first, last):
+    def _within(self, queries, q, first, last, one_way):
         """Pairs of the queries with the words of their nodes whose whole vectors keep to the budget."""
         size = last - first
         each = max(1, CHUNK // max(1, int(size.max())))
@@ -150,7 +158,10 @@ class Trie:
             who = np.repeat(q[k : k + each], n)
             word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[k : k + each], n)
             apart = self.counts[word] - queries[who]
-            fits = (np.maximum(apart, 0).sum(1) <= 1) & (np.minimum(apart, 0).sum(1) >= -1)
+            fits = np.flatnonzero((np.maximum(apart, 0).sum(1) <= 1) & (np.minimum(apart, 0).sum(1) >= -1))
+            if one_way:
+                begins = np.argmax(apart[fits] != 0, axis=1)
+                fits = fits[apart[fits, begins] >= 0]
             yield who[fits], self.order[word[fits]]
 
 
@@ -204,39 +215,43 @@ def _search_block(table: pa.Table) -> pa.Table:
     schema = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("best_n", pa.int64()), ("best", pa.string())])
     words = [w.encode("latin-1") for w in table.column("word").to_pylist()]
     counts, inside = np.asarray(table.column("n")), np.asarray(table.column("inside"))
-    members, queries = np.flatnonzero(inside), np.flatnonzero(~inside)
-    n_near, best = np.zeros(len(queries), dtype=np.int64), np.full(len(queries), -1)
+    # Both in the order of preference, so that the best near word is the one with the smallest number.
+    members, queries = (
+        rows[sorted(range(len(rows)), key=lambda k: (-counts[rows[k]], words[rows[k]]))]
+        for rows in (np.flatnonzero(inside), np.flatnonzero(~inside))
+    )
+    out = []
     if len(members) and len(queries):
         vectors, letters = _vectors(words), Letters(words)
-        # Members in the order of preference, so that the best near word is the one with the smallest number.
-        members = members[sorted(range(len(members)), key=lambda k: (-counts[members[k]], words[members[k]]))]
-        first = np.full(len(queries), len(members))
-        for who, word in Trie(vectors[members]).search(vectors[queries]):
+        of_query, of_member = ((np.zeros(len(x), dtype=np.int64), np.full(len(x), len(y))) for x, y in ((queries, members), (members, queries)))
+        for who, word in Trie(vectors[members]).search(vectors[queries], one_way=True):
             near = letters.one_edit(queries[who], members[word])
-            np.add.at(n_near, who[near], 1)
-            np.minimum.at(first, who[near], word[near])
-        best = members[np.minimum(first, len(members) - 1)]
-    found = np.flatnonzero(n_near)
+            who, word = who[near], word[near]
+            back = (vectors[queries[who]] != vectors[members[word]]).any(axis=1)
+            for (n_near, first), x, y in ((of_query, who, word), (of_member, word[back], who[back])):
+                np.add.at(n_near, x, 1)
+                np.minimum.at(first, x, y)
+        for (n_near, first), x, y in ((of_query, queries, members), (of_member, members, queries)):
+            found = np.flatnonzero(n_near)
+            out.append((x[found], n_near[found], y[first[found]]))
+    word, n_near, best = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, dtype=np.int64),) * 3
+    column = table.column("word")
     return pa.Table.from_arrays(
-        [
-            table.column("word").take(pa.array(queries[found])),
-            pa.array(n_near[found]),
-            pa.array(counts[best[found]], pa.int64()),
-            table.column("word").take(pa.array(best[found])),
-        ],
+        [column.take(pa.array(word)), pa.array(n_near), pa.array(counts[best], pa.int64()), column.take(pa.array(best))],
         schema=schema,
     )
 
 
-def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Members and searchers of the shards: ``node, word, n`` each. ``words`` has ``word, n``."""
+def shards(words: DataFrame, shard_words: int = SHARD_WORDS, one_way: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Members and searchers of the shards: ``node, word, n`` each. ``words`` has ``word, n``. Every word searches the
+    shards of all that may be near it; with ``one_way`` only one of two such words does, as ``Trie.search`` has it."""
     depth = FIRST_LEVELS
     inside = words.select("word", "n", F.array(*map(frequency, range(depth))).alias("node"))
     searching = words.select(
-        "word", "n", F.array().cast("array<int>").alias("node"), F.lit(1).alias("more"), F.lit(1).alias("less")
+        "word", "n", F.array().cast("array<int>").alias("node"), F.lit(1).alias("more"), F.lit(0 if one_way else 1).alias("less")
     )
     for level in range(depth):
-        searching = _one_level(searching, level)
+        searching = _one_level(searching, level, one_way)
     members, searchers = [], []
     while True:
         sizes = cut_lineage(inside.groupBy("node").agg(F.count(F.lit(1)).alias("size")), "spelling-nodes")
@@ -247,7 +262,7 @@ def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame,
         if open_nodes.isEmpty():
             break
         deeper = inside.join(open_nodes, "node", "left_semi").withColumn("node", F.concat("node", F.array(frequency(depth))))
-        further = _one_level(searching.join(open_nodes, "node", "left_semi"), depth)
+        further = _one_level(searching.join(open_nodes, "node", "left_semi"), depth, one_way)
         inside, searching = cut_lineage(deeper, "spelling-inside"), cut_lineage(further, "spelling-searching")
         depth += 1
     for rows in (members, searchers):
@@ -258,7 +273,7 @@ def shards(words: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[DataFrame,
 
 def near_words(vocabulary: DataFrame, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``word, n_near, best, best_n`` of the words of ``word, n`` that have near words; best is the most frequent."""
-    members, searchers = shards(vocabulary, shard_words)
+    members, searchers = shards(vocabulary, shard_words, one_way=True)
     searchers = cut_lineage(searchers, "spelling-searchers")
     blocks = searchers.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / block_words).cast("int").alias("blocks"))
     blocks = cut_lineage(blocks, "spelling-blocks")

@@ -92,6 +92,28 @@ def test_trie_finds_all_within_budget():
     assert found == Counter(zip(*(x.tolist() for x in np.nonzero(want))))
 
 
+def test_one_of_two_near_words_searches(spark):
+    """Half the searchers, every pair from one side, and the trie agrees with the shards about which."""
+    counts = words_of(4, 60)
+    words = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    both = {(r.word, tuple(r.node)) for r in spelling.shards(words, 30)[1].collect()}
+    members, searchers = (rows.collect() for rows in spelling.shards(words, 30, one_way=True))
+    once = {(r.word, tuple(r.node)) for r in searchers}
+    assert once < both and len(once) < 0.7 * len(both)
+    own = {r.word: tuple(r.node) for r in members}
+    names = sorted(counts)
+    vectors = spelling._vectors([w.encode("latin-1") for w in names])
+    found = Counter()
+    for q, m in spelling.Trie(vectors).search(vectors, one_way=True):
+        found.update((names[a], names[b]) for a, b in zip(q.tolist(), m.tolist()))
+    assert max(found.values()) == 1 and all((a, own[b]) in once for a, b in found)
+    vector = {w: v.tolist() for w, v in zip(names, vectors)}
+    pairs = [(a, b) for a in names for b in names if a < b and near(a, b)]
+    assert len(pairs) > 50
+    for a, b in pairs:
+        assert found[a, b] + found[b, a] == (2 if vector[a] == vector[b] else 1)
+
+
 def test_runs_and_odd_inputs(spark):
     long = "z" * 5000
     rows = [
