@@ -3,9 +3,8 @@
 A fit has no SQL form. The oracles state what SQL knows about its result: the keys, the seasonal naive error that
 the model has to stay under, the names of the features, the ranges of the search.
 
-``train_model`` and ``forecast_accuracy`` fit the library's defaults (100 trees). TREES and SEARCH_TREES bound the trees
-of the others, as a fit of 50 to 500 trees for each of ten trials takes hours on one machine; ranges of the other
-parameters, and the number of trials, are the library's.
+``train_model`` and ``forecast_accuracy`` fit the library's defaults (100 trees); ``forecasting_run`` has the library's ranges
+(50 to 500 trees) and number of trials. TREES bounds the trees of the others, SEARCH_TREES those of ``hyperparameter_search``.
 """
 
 from pyspark.sql import functions as F
@@ -200,8 +199,7 @@ def forecasting_run(spark, sf_dir):
     folder = shared_folder(use_utc(spark), "run")
     trips(spark, sf_dir).select("trip_start_timestamp", "pickup_community_area").write.parquet(f"{folder}/trips")
     settings = Settings(
-        end_date=END_DATE, max_points=MAX_POINTS, train_end=TRAIN_END, val_end=VAL_END, horizon=HORIZON, search=True,
-        ranges={**training.SEARCH_RANGES, "n_estimators": SEARCH_TREES},
+        end_date=END_DATE, max_points=MAX_POINTS, train_end=TRAIN_END, val_end=VAL_END, horizon=HORIZON, search=True
     )
     scored = run_forecasting(spark, f"{folder}/trips", f"{folder}/out", settings).select("n", "rmse")
     naive = evaluate(naive_forecast(spark, sf_dir), read_table(spark, f"{folder}/out/demand")).select("rmse").scalar()

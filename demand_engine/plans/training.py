@@ -37,6 +37,8 @@ DEFAULTS = {
 }
 SEED = 42
 STOP_AFTER = 10
+#: Rounds of the first fit of a boosting that may end early; each further fit has twice as many, the last one all.
+FIRST_ROUNDS = 16
 #: Rows a task of a fit has on average at least. A fit runs two stages for each level of each tree, so on few rows the
 #: number of tasks, not the work in them, decides how long it takes.
 ROWS_PER_TASK = 10_000
@@ -139,6 +141,24 @@ def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
     return GBTRegressionModel(short)
 
 
+def boosted(regressor: GBTRegressor, rows: DataFrame, held_out: DataFrame) -> GBTRegressionModel:
+    """The best round's model of a fit of all the regressor's rounds, which ends once ``STOP_AFTER`` rounds in a row
+    brought no gain on ``held_out``.
+
+    Spark can neither stop after so many rounds nor go on with a model. As each tree has a seed of its own, a fit's
+    trees are the first ones of any longer fit, so fits grow until the errors have those rounds or all rounds are
+    fitted. The shorter fits together have fewer rounds than the regressor."""
+    most = regressor.getMaxIter()
+    rounds = FIRST_ROUNDS if 2 * FIRST_ROUNDS <= most else most
+    while True:
+        model = regressor.copy({regressor.maxIter: rounds}).fit(rows)
+        errors = list(model.evaluateEachIteration(held_out, "squared"))
+        best = best_round(errors)
+        if rounds == most or len(errors) - best >= STOP_AFTER:
+            return first_trees(model, best)
+        rounds = 2 * rounds if 4 * rounds <= most else most
+
+
 @contextmanager
 def kept(rows: DataFrame):
     """Keeps the rows on the executors (memory, else disk) while several jobs read them."""
@@ -189,17 +209,15 @@ def train(
     rows: DataFrame, train_end, val_end, params: dict | None = None, time: str = "timestamp_hour",
     target: str = "trip_count", roles: FeatureRoles | None = None, sides: Encoded | None = None,
 ) -> PipelineModel:
-    """Fits on the rows before ``train_end``; the error on those up to ``val_end``, round by round, decides how
-    many trees are kept (``best_round``): the first ones of the fit.
+    """Fits on the rows before ``train_end``; the error on those up to ``val_end``, round by round, decides when the
+    fit ends and how many trees are kept (``best_round``): the first ones of the fit.
 
     ``rows`` come from ``model_rows``; without ``params`` this is the single run with the defaults. Several fits may
     share ``sides``, the rows' ``encoded``.
     """
     regressor = _regressor(params or {}, target)
     with nullcontext(sides) if sides else encoded(rows, train_end, val_end, time, target, roles) as (encode, ready):
-        model = regressor.fit(ready.where("split = 'train'"))
-        errors = list(model.evaluateEachIteration(ready.where("split = 'validation'"), "squared"))
-        model = first_trees(model, best_round(errors))
+        model = boosted(regressor, ready.where("split = 'train'"), ready.where("split = 'validation'"))
     return PipelineModel([*encode.stages, model])
 
 

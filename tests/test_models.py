@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from demand_engine.catalog import models
 from demand_engine.operators import encoding
 from demand_engine.plans import training
 from demand_engine.plans.run import Settings, run_forecasting
@@ -179,3 +180,45 @@ def test_trials_share_one_encoding(spark, rows, monkeypatch):
         assert trial.rmse == pytest.approx(error)
     empty = training.run_trials(table, trials, "2023-01-06", "2024-01-09").collect()
     assert [(r.state, r.rmse) for r in empty] == [("FAILED: ValueError", None)] * 3
+
+
+@pytest.mark.parametrize("gains, fitted", [(True, [16, 40]), (False, [16])])
+def test_boosting_ends_with_the_trees_of_the_whole_fit(spark, monkeypatch, gains, fitted):
+    """Whether the error falls in each round or the ten rounds without gain come early; sampling of rows and columns included."""
+    x = F.col("id") % 37
+    noise = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(100))
+    rows = spark.range(600).select(x.alias("a"), (F.col("id") % 5).alias("b"), (x * 3 if gains else noise).cast("double").alias("y"), (F.col("id") % 3 == 0).alias("held"))
+    ready = training.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).coalesce(1).persist()
+    held_out, seen = ready.where("held"), ready.where("not held")
+    regressor = training._regressor({"n_estimators": 40, "max_depth": 2, "learning_rate": 0.05 if gains else 0.3}, "y")
+    whole = regressor.fit(seen)
+    errors = list(whole.evaluateEachIteration(held_out, "squared"))
+    want = training.first_trees(whole, training.best_round(errors))
+    asked, fit = [], training.GBTRegressor.fit
+    monkeypatch.setattr(training.GBTRegressor, "fit", lambda self, *a: asked.append(self.getMaxIter()) or fit(self, *a))
+    made = training.boosted(regressor, seen, held_out)
+    assert asked == fitted and regressor.getMaxIter() == 40
+    assert made.getNumTrees == want.getNumTrees and made.toDebugString.split("\n")[1:] == want.toDebugString.split("\n")[1:]
+
+
+@pytest.mark.parametrize("query", ["forecasting_run"])
+def test_searches_have_the_whole_ranges(spark, tmp_path, monkeypatch, query):
+    spark.range(300).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-02' + make_interval(0, 0, 0, 0, 2 * id) AS ts", "id % 3 AS user_id", "'click' AS event_type",
+        "1e0 AS value", "'{}' AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    planned = []
+
+    class Seen(Exception):
+        pass
+
+    def run(rows, trials, *a, **k):
+        planned.extend(trials.collect())
+        raise Seen
+
+    monkeypatch.setattr(training, "run_trials", run)
+    with pytest.raises(Seen):
+        getattr(models, query)(spark, str(tmp_path))
+    assert planned == training.sample_trials(spark).collect() and len(planned) == 10
+    low, high, _ = training.SEARCH_RANGES["n_estimators"]
+    assert (low, high) == (50, 500) and all(low <= r.n_estimators <= high for r in planned) and max(r.n_estimators for r in planned) > 400
