@@ -3,8 +3,8 @@
 A fit has no SQL form. The oracles state what SQL knows about its result: the keys, the seasonal naive error that
 the model has to stay under, the names of the features, the ranges of the search.
 
-``train_model`` and ``forecast_accuracy`` fit the library's defaults (100 trees); ``forecasting_run`` has the library's ranges
-(50 to 500 trees) and number of trials. TREES bounds the trees of the others, SEARCH_TREES those of ``hyperparameter_search``.
+``train_model`` and ``forecast_accuracy`` fit the library's defaults (100 trees); the searches have the library's ranges
+(50 to 500 trees) and number of trials. TREES bounds the trees of the others.
 """
 
 from pyspark.sql import functions as F
@@ -38,7 +38,6 @@ from demand_engine.session import shared_folder, use_utc
 from demand_engine.sources.tables import read_table
 
 TREES = 20
-SEARCH_TREES = (5, 15, "linear")
 _TIME, _ID = "timestamp_hour", "pickup_community_area"
 
 
@@ -164,12 +163,11 @@ def saved_model(spark, sf_dir):
 )
 def hyperparameter_search(spark, sf_dir):
     """Ten random trials, and the best of them: its error is the smallest of all rows."""
-    ranges = {**training.SEARCH_RANGES, "n_estimators": SEARCH_TREES}
-    trials = training.sample_trials(spark, ranges)
+    trials = training.sample_trials(spark)
     done = training.run_trials(_rows(spark, sf_dir), trials, TRAIN_END, VAL_END, parallel=2)
     best = training.best_trial(done).select(F.struct("trial_id", "rmse").alias("best")).scalar()
     inside = F.lit(True)
-    for name, (low, high, _) in ranges.items():
+    for name, (low, high, _) in training.SEARCH_RANGES.items():
         inside = inside & F.col(name).between(low, high)
     n_best = done.agg(F.count_if(F.col("trial_id") == best.getField("trial_id")).cast("int")).scalar()
     none_better = (F.col("rmse") >= best.getField("rmse")).alias("none_better")

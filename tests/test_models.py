@@ -201,7 +201,7 @@ def test_boosting_ends_with_the_trees_of_the_whole_fit(spark, monkeypatch, gains
     assert made.getNumTrees == want.getNumTrees and made.toDebugString.split("\n")[1:] == want.toDebugString.split("\n")[1:]
 
 
-@pytest.mark.parametrize("query", ["forecasting_run"])
+@pytest.mark.parametrize("query", ["forecasting_run", "hyperparameter_search"])
 def test_searches_have_the_whole_ranges(spark, tmp_path, monkeypatch, query):
     spark.range(300).selectExpr(
         "id AS event_id", "timestamp_ntz'2024-01-02' + make_interval(0, 0, 0, 0, 2 * id) AS ts", "id % 3 AS user_id", "'click' AS event_type",
